@@ -117,9 +117,10 @@ def printed_contradictions(bodies_gap: DataFrame, reach: float = PRINTED_REACH_M
     return far.groupBy("village", "survey").agg(F.count("*").alias("n_far"), F.array_join(names, ",").alias("printed_far"))
 
 
-def side_checks(sides: DataFrame, centres: DataFrame, min_cos: float = SIDE_COS) -> DataFrame:
+def side_checks(sides: DataFrame, trusted: DataFrame, centres: DataFrame, min_cos: float = SIDE_COS) -> DataFrame:
     """Printed sides honoured and contradicted per survey, read from its own sheet and from its neighbours'.
 
+    A survey's own sheet counts for its trusted numbers only; any neighbour's sheet that names the survey counts.
     ``sides``: village, survey, other, side. ``centres``: village, survey, theta (degrees), cx, cy on the ground.
     """
     own = centres.select("village", "survey", F.col("theta").alias("th"), F.col("cx").alias("sx"), F.col("cy").alias("sy"))
@@ -129,7 +130,10 @@ def side_checks(sides: DataFrame, centres: DataFrame, min_cos: float = SIDE_COS)
     vx, vy = c * v["x"] - s * v["y"], s * v["x"] + c * v["y"]
     dx, dy = F.col("ox") - F.col("sx"), F.col("oy") - F.col("sy")
     dist = F.hypot(dx, dy)
+    sure = trusted.select("village", "survey", "other", F.lit(True).alias("sure"))
     seen = (sides.filter("side is not null and survey <> other").join(own, ["village", "survey"]).join(oth, ["village", "other"])
-            .filter(dist >= 1.0).withColumn("ok", ((vx * dx + vy * dy) / dist >= min_cos).cast("int")))
-    votes = seen.select("village", "survey", "ok").unionByName(seen.select("village", F.col("other").alias("survey"), "ok"))
+            .filter(dist >= 1.0).join(sure, ["village", "survey", "other"], "left")
+            .select("village", "survey", "other", "sure", ((vx * dx + vy * dy) / dist >= min_cos).cast("int").alias("ok")))
+    votes = seen.select("village", "ok", F.explode(F.array(
+        F.when(F.col("sure"), F.col("survey")), F.col("other"))).alias("survey")).filter("survey is not null")
     return votes.groupBy("village", "survey").agg(F.sum("ok").alias("side_ok"), F.sum(1 - F.col("ok")).alias("side_bad"))
