@@ -231,6 +231,33 @@ DERIVED: dict[str, str] = {
     "scale_table_fx": """
       select village, base as survey_no, min(case o_orderkey%4 when 0 then 500 when 1 then 800 when 2 then 1000 else 2000 end) as scale
       from files_fx where o_orderkey%6=0 group by village, base""",
+    "path_ops_fx": """
+      select i, 1 as k, 'm' as op, x1 as px, y1 as py, x1 as qx, y1 as qy from lattice_fx
+      union all select i, 2, 'l', x2, y2, x2, y2 from lattice_fx
+      union all select i, 3, case when i%2=0 then 'v' else 'l' end, x3, y3, x3+4, y3+2 from lattice_fx
+      union all select i, 4, 'v', x4-1, y4+3, x4, y4 from lattice_fx
+      union all select i, 5, 'h', x1, y1, x1, y1 from lattice_fx""",
+    "segments_raw_fx": """
+      select cast(k%200 as string) as sheet_id, k*100000000 + l_partkey*10000 + l_suppkey*10 + l_linenumber as seg_id,
+             case when k%2=0 then cast(2527.5 as double) else cast(1263 as double) end as page_w,
+             case when k%2=0 then cast(3370 as double) else cast(1685 as double) end as page_h,
+             cast((l_partkey*13)%1250 as double) as x0, cast((l_suppkey*17 + l_linenumber*191)%1680 as double) as y0,
+             cast((l_partkey*13)%1250 + case when l_suppkey%5=0 then 0 else l_suppkey*7-200 end as double) as x1,
+             cast((l_suppkey*17 + l_linenumber*191)%1680 + case when l_suppkey%7<2 then 0 else l_partkey%300-100 end as double) as y1,
+             case l_linenumber when 5 then 0.0e0 when 6 then 0.5e0 else 0.0e0 end as red,
+             case l_linenumber when 6 then 0.5e0 else 0.0e0 end as green,
+             case l_linenumber when 5 then 1.0e0 when 6 then 0.5e0 else 0.0e0 end as blue,
+             case when l_linenumber=7 then null else cast(l_partkey%5 as double)/2 end as linewidth,
+             case k%4 when 0 then '' when 1 then '3,0' when 2 then '3,2' else '4,1,2,1,2,1' end as dash
+      from (select *, l_orderkey as k from lineitem) l""",
+    "printed_fx": """
+      select village, survey, cast(other as string) as number, side, 2 as readers, 'high' as confidence, cast(other as int) as pos
+      from (select distinct a.village, a.survey, b.survey as other,
+                   case when b.r>a.r then 'N' when b.r<a.r then 'S' when b.c>a.c then 'E' else 'W' end as side
+            from lattice_fx a join (select village, survey, r-1 as jr, c as jc, r, c from lattice_fx union all
+                  select village, survey, r+1, c, r, c from lattice_fx union all select village, survey, r, c-1, r, c from lattice_fx
+                  union all select village, survey, r, c+1, r, c from lattice_fx) b
+              on b.village=a.village and b.jr=a.r and b.jc=a.c where a.survey<>b.survey) p""",
     # two raw readings per (sheet, neighbour number)
     "readings_fx": """
       select cast(l_suppkey as string) as sheet, cast(l_partkey%40 as string) as number,

@@ -55,18 +55,12 @@ def _consensus(fx):
     return nb.two_reader_consensus(fx.readings_fx)
 
 
-_THIN = f"(select village, survey, other from {TRUST} t where abs(cast(survey as int)-cast(other as int))<=3)"
-
-
-@query("ring_growth", f"""
-  with recursive e as {_THIN}, b as (select village, survey as x, other as y from e union select village, other, survey from e),
-  w as (select distinct village, survey as s, 0 as ring from neighbours_fx where cast(survey as int)<10
-    union select w.village, b.y, ring+1 from w join b on b.village=w.village and b.x=w.s where ring<4)
+@query("ring_growth", """
+  with recursive b as (select village, survey as x, number as y from printed_fx union select village, number, survey from printed_fx),
+  w as (select village, survey as s, 0 as ring from near_poses_fx where rms=0 union select w.village, b.y, ring+1 from w join b on b.village=w.village and b.x=w.s where ring<3)
   select village, s as survey, min(ring) as ring from w group by 1,2 having min(ring)>0""")
 def _ring(fx):
-    near = F.abs(F.col("survey").cast("int") - F.col("other").cast("int")) <= 3
-    seeds = fx.neighbours_fx.filter("cast(survey as int) < 10").select("village", "survey").distinct()
-    return nb.ring_growth(nb.trusted_neighbours(fx.neighbours_fx).filter(near), seeds, 4)
+    return nb.ring_growth(nb.trusted_neighbours(fx.printed_fx), fx.near_poses_fx.filter("rms = 0"), 3)
 
 
 _CENTRES = "(select distinct village, survey, cast((cast(survey as int)*37)%360 as double) as theta, cast((cast(survey as int)*11)%70 as double) as cx, cast((cast(survey as int)*29)%90 as double) as cy from neighbours_fx)"
