@@ -258,6 +258,19 @@ DERIVED: dict[str, str] = {
                   select village, survey, r+1, c, r, c from lattice_fx union all select village, survey, r, c-1, r, c from lattice_fx
                   union all select village, survey, r, c+1, r, c from lattice_fx) b
               on b.village=a.village and b.jr=a.r and b.jc=a.c where a.survey<>b.survey) p""",
+    "text_runs_fx": """
+      select village as sheet, i*10+1 as run_id, cast(p_size as string) as txt, cast(40*c+4 as double) as x0, cast(40*c+8 as double) as x1,
+             cast(25*r+10 as double) as cy, 4.0e0 as gd, cast((i%5-2)*3 as double) as ang from lattice_fx
+      union all select village, i*10+2, cast(i%10 as string), cast(40*c+12 as double), cast(40*c+14 as double), cast(25*r+10 as double),
+             4.0e0, cast((i%7-3)*2 as double) from lattice_fx where i%9<>0
+      union all select village, i*10+3, '7', cast(40*c+5 as double), cast(40*c+7 as double), cast(25*r+11 as double), 4.0e0, 0.0e0 from lattice_fx where i%6=0""",
+    "dots_fx": """
+      select village as sheet, i as dot_id, cast(40*c+10 as double) as dx, cast(25*r+10 as double) + cast(i%3 as double)/4 as dy from lattice_fx""",
+    "dim_text_fx": """
+      select village as sheet, label_id as dim_id, x as px, y as py, cast(1+label_id%6 as double) as gd, cast((label_id*23)%360-180 as double) as ang from label_points_fx""",
+    "glyphs_fx": """
+      select vec_id as glyph_id, embedding, 0.25e0 + cast(vec_id%8 as double)/8 as ar, cast(label as string) as ch,
+             cast(floor(vec_id/4.0) as int) as run_id, cast((vec_id%4)*8 as double) as cx, cast((vec_id*7)%3 as double)/8 as cy from embeddings""",
     # two raw readings per (sheet, neighbour number)
     "readings_fx": """
       select cast(l_suppkey as string) as sheet, cast(l_partkey%40 as string) as number,

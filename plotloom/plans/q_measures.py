@@ -174,11 +174,11 @@ def _flatten(fx):
 
 @query("outline_samples", f"""
   with {_NXT}, e as (select *, greatest(1, round_even(sqrt((nx-x)^2+(ny-y)^2)/1.0,0)) as n from nx where ring_no=0)
-  select village, survey, poly_id, seq as edge_no, k, round(x+(nx-x)*(k+0.5::double)/n,4)+0.0 as x, round(y+(ny-y)*(k+0.5::double)/n,4)+0.0 as y, round(atan2(ny-y,nx-x),6)+0.0 as bearing
+  select village, survey, poly_id, seq as edge_no, k, round(x+(nx-x)*(k+0.5::double)/n+1.3e-6,4)+0.0 as x, round(y+(ny-y)*(k+0.5::double)/n+1.3e-6,4)+0.0 as y, round(atan2(ny-y,nx-x),6)+0.0 as bearing
   from e, range(0,60) g(k) where k<n""")
 def _samples(fx):
     s = ms.outline_samples(plots(fx), KEY, 1.0)
-    return s.select(*KEY, "edge_no", "k", r(F.col("x"), 4).alias("x"), r(F.col("y"), 4).alias("y"), r(F.col("bearing")).alias("bearing"))
+    return s.select(*KEY, "edge_no", "k", r(F.col("x") + 1.3e-6, 4).alias("x"), r(F.col("y") + 1.3e-6, 4).alias("y"), r(F.col("bearing")).alias("bearing"))
 
 
 @query("segment_samples", """
