@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from plotloom.functions import text as tx
+from plotloom.operators import spatial
 from plotloom.session import cut_lineage
 
 # Compass letters and their unit vectors.
@@ -109,9 +110,9 @@ def ring_growth(edges: DataFrame, seeds: DataFrame, rings: int) -> DataFrame:
     return reached.filter("ring > 0")
 
 
-def printed_contradictions(bodies_gap: DataFrame, reach: float = PRINTED_REACH_M) -> DataFrame:
-    """Per placement the printed, placed neighbours it stays away from; needs (village, survey, other, gap_m)."""
-    far = bodies_gap.filter(F.col("gap_m") > reach)
+def printed_contradictions(trusted: DataFrame, bodies: DataFrame, reach: float = PRINTED_REACH_M) -> DataFrame:
+    """Per placement the printed, placed neighbours it stays away from, in natural order."""
+    far = spatial.bodies_out_of_reach(trusted, bodies, reach)
     names = F.transform(F.array_sort(F.collect_list(F.struct(tx.survey_order(F.col("other")).alias("n"), F.col("other").alias("o")))),
                         lambda e: e["o"])
     return far.groupBy("village", "survey").agg(F.count("*").alias("n_far"), F.array_join(names, ",").alias("printed_far"))
