@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotloom.functions import geo
+from plotloom.session import cut_lineage
 
 POSE_RMS_LIMIT = 3.0
 
@@ -153,6 +154,7 @@ def nearest_vertex_refine(verts: DataFrame, hand: DataFrame, start: DataFrame, s
     tx, ty. ``sizes``: keys, size (square root of the sheet area). A round with fewer than three pairs keeps
     the pose it had.
     """
+    verts, hand, sizes = cut_lineage(verts), cut_lineage(hand), cut_lineage(sizes)
     pose = start.select(*keys, "theta", "tx", "ty", F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("double").alias("rms"))
     for share in (0.15, 0.07, 0.0):
         reach = F.greatest(F.lit(4.0), F.col("size") * share)
@@ -163,6 +165,7 @@ def nearest_vertex_refine(verts: DataFrame, hand: DataFrame, start: DataFrame, s
                 .groupBy(*keys, "plot_id", F.col("x").alias("px"), F.col("y").alias("py"))
                 .agg(F.min_by(F.struct("hx", "hy"), F.struct("d", "hx", "hy")).alias("h"))
                 .select(*keys, "px", "py", F.col("h.hx").alias("qx"), F.col("h.hy").alias("qy")))
+        near = cut_lineage(near)                 # the fit reads it several times
         fit = rigid_fit(near, keys).filter("n >= 3").select(*keys, *[F.col(c).alias(f"_{c}") for c in ("theta", "tx", "ty", "n", "rms")])
-        pose = pose.join(fit, keys, "left").select(*keys, *[F.coalesce(f"_{c}", c).alias(c) for c in ("theta", "tx", "ty", "n", "rms")])
+        pose = cut_lineage(pose.join(fit, keys, "left").select(*keys, *[F.coalesce(f"_{c}", c).alias(c) for c in ("theta", "tx", "ty", "n", "rms")]))
     return pose
