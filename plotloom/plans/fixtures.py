@@ -83,6 +83,10 @@ DERIVED: dict[str, str] = {
       union all
       select survey, concat('diag-', cast(n_nationkey as string)), x1, y1, x3, y3
       from nation join lattice_fx on i = n_nationkey*40+3""",
+    "crossing_segments_fx": """
+      select * from sheet_segments_fx
+      union all select survey, concat('mid-', cast(i as string)), x1+(x2-x1)/4, y1+(y2-y1)/4, x4+(x3-x4)/4, y4+(y3-y4)/4 from lattice_fx
+      union all select survey, concat('back-', cast(i as string)), x2, y2, x4, y4 from lattice_fx""",
     "label_points_fx": """
       select i as label_id, village, cast(p_size as string) as label,
              cast(40*c+(i*7)%40 as double) as x, cast(25*r+(i*5)%25 as double) as y from lattice_fx
