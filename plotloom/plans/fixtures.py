@@ -275,6 +275,15 @@ DERIVED: dict[str, str] = {
     "glyphs_fx": """
       select vec_id as glyph_id, embedding, 0.25e0 + cast(vec_id%8 as double)/8 as ar, cast(label as string) as ch,
              cast(floor(vec_id/4.0) as int) as run_id, cast((vec_id%4)*8 as double) as cx, cast((vec_id*7)%3 as double)/8 as cy from embeddings""",
+    # one sheet per plot on a grid whose corners are moved by up to six metres, so that no two boundaries are alike
+    "village_fx": """
+      select i, c, r, cast(cast(floor(r/10.0) as int) as string) as village, cast(i as string) as survey,
+             cast(40*(c) as double) + cast(((7919)*(c)+(104729)*(r)+31*(c)*(r))%97-48 as double)/8 as x1, cast(25*(r) as double) + cast(((6101)*(c)+(15485)*(r)+53*(c)*(r))%97-48 as double)/8 as y1,
+             cast(40*(c+1) as double) + cast(((7919)*(c+1)+(104729)*(r)+31*(c+1)*(r))%97-48 as double)/8 as x2, cast(25*(r) as double) + cast(((6101)*(c+1)+(15485)*(r)+53*(c+1)*(r))%97-48 as double)/8 as y2,
+             cast(40*(c+1) as double) + cast(((7919)*(c+1)+(104729)*(r+1)+31*(c+1)*(r+1))%97-48 as double)/8 as x3, cast(25*(r+1) as double) + cast(((6101)*(c+1)+(15485)*(r+1)+53*(c+1)*(r+1))%97-48 as double)/8 as y3,
+             cast(40*(c) as double) + cast(((7919)*(c)+(104729)*(r+1)+31*(c)*(r+1))%97-48 as double)/8 as x4, cast(25*(r+1) as double) + cast(((6101)*(c)+(15485)*(r+1)+53*(c)*(r+1))%97-48 as double)/8 as y4,
+             cast((i*47)%360 as double) as turn, case when i%10=3 then 1 else 0 end as anchored
+      from lattice_fx""",
     # two raw readings per (sheet, neighbour number)
     "readings_fx": """
       select cast(l_suppkey as string) as sheet, cast(l_partkey%40 as string) as number,
