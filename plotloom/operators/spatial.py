@@ -91,17 +91,26 @@ def resolve_labels(plots: DataFrame, assigned: DataFrame, kind: str) -> DataFram
                              "label_source": F.when(has, source).otherwise("none")}).drop("ls"))
 
 
-def nearest_sample(points: DataFrame, samples: DataFrame, keys: list[str], ids: list[str], max_dist: float) -> DataFrame:
+def nearest_sample(points: DataFrame, segs: DataFrame, keys: list[str], ids: list[str], max_dist: float, step: float = 0.5, cell: float = 8.0) -> DataFrame:
     """Distance and bearing of the nearest feature sample; null beyond ``max_dist``.
 
-    ``points`` and ``samples`` carry x, y; ``samples`` also bearing. Points are unfolded over their reach.
+    ``points``: x, y. ``segs``: ax, ay, bx, b_y, sampled every ``step`` with both ends. Samples lie evenly on
+    their segment, so the nearest one is next to the foot of the point: neither side is unfolded into samples,
+    a point stays one row and a segment costs the cells it crosses.
     """
-    p = cells.over_box(points, F.col("x") - max_dist, F.col("y") - max_dist, F.col("x") + max_dist, F.col("y") + max_dist, 2 * max_dist)
-    s = cells.at_point(samples.select(*keys, F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("bearing").alias("s_bearing")),
-                       F.col("sx"), F.col("sy"), 2 * max_dist)
-    dx, dy = F.col("sx") - F.col("x"), F.col("sy") - F.col("y")
-    hit = cells.nearest(p.select(*keys, *ids, "x", "y", "cell_x", "cell_y"), s, keys, ids, dx * dx + dy * dy, max_dist * max_dist,
-                        ["s_bearing"], ["s_bearing"])
+    seg = [F.col(c) for c in ("ax", "ay", "bx", "b_y")]
+    ax, ay, bx, by = seg
+    s = segs.select(*keys, "ax", "ay", "bx", "b_y", geo.radians_mod_pi(F.atan2(by - ay, bx - ax)).alias("s_bearing"),
+                    geo.segment_steps(F.hypot(bx - ax, by - ay), step).alias("_n"))
+    s = cells.over_segment(s, *seg, cell, max_dist)
+    p = cells.at_point(points.select(*keys, *ids, "x", "y"), F.col("x"), F.col("y"), cell)
+    foot = F.floor(geo.clamp01(F.coalesce(geo.param_on_segment(F.col("x"), F.col("y"), *seg), F.lit(0.0))) * F.col("_n"))
+
+    def square(k):
+        dx, dy = (ax + (bx - ax) * k / F.col("_n")) - F.col("x"), (ay + (by - ay) * k / F.col("_n")) - F.col("y")
+        return dx * dx + dy * dy
+    d2 = F.least(square(foot), square(F.least(foot + 1, F.col("_n"))))
+    hit = cells.nearest(p, s, keys, ids, d2, max_dist * max_dist, ["s_bearing"], ["s_bearing"])
     return points.join(hit.withColumn("dist", F.sqrt("dist")), [*keys, *ids], "left")
 
 
@@ -203,14 +212,14 @@ def placement_errors(placed: DataFrame, refs: DataFrame, keys: list[str]) -> Dat
                     F.round(hausdorff(F.col("ring"), F.col("ring_fmb")), 3).alias("max_vertex_err_m"))
 
 
-def corner_gcps(outlines: DataFrame, poses: DataFrame, samples: DataFrame, keys: list[str]) -> DataFrame:
+def corner_gcps(outlines: DataFrame, poses: DataFrame, features: DataFrame, keys: list[str]) -> DataFrame:
     """Every real corner with its ground position and whether imagery has an edge within 1.5 m of it."""
     turns = F.transform(geo.signed_turns(F.col("ring")), lambda t: F.abs(t))
     sharp = F.filter(F.zip_with("ring", turns, lambda p, t: F.struct(p["x"].alias("x"), p["y"].alias("y"), t.alias("t"))), lambda e: e["t"] >= CORNER_TURN_MIN)
     c = outlines.select(*keys, F.posexplode(sharp).alias("n", "p")).select(*keys, (F.col("n") + 1).alias("corner_id"), F.col("p.x").alias("sheet_x"), F.col("p.y").alias("sheet_y"))
     x, y = geo.rigid(F.col("sheet_x"), F.col("sheet_y"), F.col("theta"), F.col("tx"), F.col("ty"))
     g = c.join(poses, ["village", "survey"]).withColumns({"x": x, "y": y})
-    hit = nearest_sample(g, samples, ["village"], [*keys[1:], "corner_id"], MATCH_DIST + 1.0)
+    hit = nearest_sample(g, features, ["village"], [*keys[1:], "corner_id"], MATCH_DIST + 1.0)
     return hit.withColumn("matched", F.coalesce((F.col("dist") <= MATCH_DIST).cast("int"), F.lit(0)))
 
 

@@ -58,16 +58,12 @@ def _near(points: str, cols: str) -> str:
      join feats f on f.edge_id=e.edge_id where (f.x-p.x)*(f.x-p.x)+(f.y-p.y)*(f.y-p.y)<=6.25 group by all)"""
 
 
-def _samples(fx):
-    return ms.segment_samples(fx.features_fx, ["village", "edge_id"])
-
-
 @query("nearest_sample", f"""
   with {_FEATS}, pts as (select village, i, seq, x, y from ring_vertices_fx where ring_no=0), {_near('pts', 'p.i, p.seq')}
   select pts.i, pts.seq, round(sqrt(m.d),6) as dist, round(m.b,6) as bearing from pts left join near on near.i=pts.i and near.seq=pts.seq""")
 def _nearest(fx):
     v = ms.ring_vertices(plots(fx), ["village", "i"])
-    n = sp.nearest_sample(v.select("village", "i", "seq", "x", "y"), _samples(fx), ["village"], ["i", "seq"], 2.5)
+    n = sp.nearest_sample(v.select("village", "i", "seq", "x", "y"), fx.features_fx, ["village"], ["i", "seq"], 2.5)
     return n.select("i", "seq", r(F.col("dist")).alias("dist"), r(F.col("s_bearing")).alias("bearing"))
 
 
@@ -79,7 +75,7 @@ def _nearest(fx):
   select village, survey, count(*) as n, round(count(*) filter (where sqrt(d2)<=1.5 and least(g,180-g)<=12)/count(*)::double,6) as share from j group by 1,2""")
 def _share(fx):
     s = ms.outline_samples(plots(fx), KEY, 1.0)
-    out = sp.share_score(s, fx.near_poses_fx.select("village", "survey", "theta", "tx", "ty"), _samples(fx), ["village", "survey"], [])
+    out = sp.share_score(s, fx.near_poses_fx.select("village", "survey", "theta", "tx", "ty"), fx.features_fx, ["village", "survey"], [])
     return out.withColumn("share", r(F.col("share")))
 
 
@@ -217,7 +213,7 @@ def _errors(fx):
   {_near('pts', 'p.i, p.corner_id')}
   select pts.village, survey, poly_id, pts.corner_id, round(x,4)+0.0 as map_x, round(y,4)+0.0 as map_y, case when sqrt(m.d)<=1.5 then 1 else 0 end as matched, round(sqrt(m.d),5) as residual_m from pts left join near n on n.i=pts.i and n.corner_id=pts.corner_id""")
 def _gcps(fx):
-    g = sp.corner_gcps(plots(fx), fx.near_poses_fx.select("village", "survey", "theta", "tx", "ty"), _samples(fx), KEY)
+    g = sp.corner_gcps(plots(fx), fx.near_poses_fx.select("village", "survey", "theta", "tx", "ty"), fx.features_fx, KEY)
     return g.select(*KEY, "corner_id", r(F.col("x"), 4).alias("map_x"), r(F.col("y"), 4).alias("map_y"), "matched", r(F.col("dist"), 5).alias("residual_m"))
 
 
