@@ -14,8 +14,8 @@ HEADLINE = [
     "comparison_table", "worst10", "colour_verdict", "coverage_status", "last_error_per_key", "lookup_exact_then_parent",
     "trusted_neighbours", "mutual_adjacency", "rank_poses", "runner_up_support", "classify_lines", "scale_from_dimensions",
     "size_bands", "template_match", "ring_measures", "outline_samples", "edge_table", "rigid_fit", "jackknife_heading",
-    "label_to_polygon", "nearest_sample", "share_score", "close_pairs", "overlap_ledger", "hausdorff", "edge_chain_match",
-    "split_points", "dissolve_outline", "node_parts", "stream_latest_verdict",
+    "label_to_polygon", "nearest_sample", "close_pairs", "overlap_ledger", "hausdorff", "dissolve_outline",
+    "stream_latest_verdict",
 ]
 
 
@@ -23,7 +23,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", "plotloom-bench", **{"spark.sql.shuffle.partitions": cpus})
+    spark = build_session(f"local[{cpus}]", "plotloom-bench", **{
+        "spark.sql.shuffle.partitions": cpus, "spark.sql.adaptive.coalescePartitions.enabled": "false"})    # keep every core busy
     spark.range(1).count()
     qs, took = catalog.queries(), {}
     for key in only:
