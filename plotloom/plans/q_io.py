@@ -52,7 +52,7 @@ def _csv(fx):
     return back.select("survey", "status", "method", "support_m", F.coalesce("observable", F.lit("")).alias("raw_flag"))
 
 
-_POINTS = "select survey, round(mx,4) as map_x, round(my,4) as map_y, sx as source_x, round(sy,6)+0.0 as source_y from control_points_fx"
+_POINTS = "select survey, round(mx,3) as map_x, round(my,3) as map_y, sx as source_x, round(sy,6)+0.0 as source_y from control_points_fx"
 
 
 def _points(fx):
@@ -64,7 +64,7 @@ def _points(fx):
 
 
 for _k in ("scan_control_points", "sink_control_points"):
-    query(_k, _POINTS)(lambda fx: _points(fx).select("survey", r(F.col("map_x"), 4).alias("map_x"), r(F.col("map_y"), 4).alias("map_y"), "source_x", r(F.col("source_y")).alias("source_y")))
+    query(_k, _POINTS)(lambda fx: _points(fx).select("survey", r(F.col("map_x"), 3).alias("map_x"), r(F.col("map_y"), 3).alias("map_y"), "source_x", r(F.col("source_y")).alias("source_y")))
 
 
 @query("scan_neighbours", "select village, survey, number, side, readers, confidence from printed_fx")
