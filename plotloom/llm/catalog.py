@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotloom.llm import simhash
+from plotloom.llm import quality, simhash
 from plotloom.llm.common import read
 
 
@@ -12,9 +12,13 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op4_simhash_near_dedup, op6_line_frequency_rules)}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op6_line_frequency_rules": quality.SQL}
