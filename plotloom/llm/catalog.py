@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotloom.llm import quality, simhash
+from plotloom.llm import decontaminate, quality, simhash
 from plotloom.llm.common import read
 
 
@@ -16,9 +16,13 @@ def op6_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(read(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_near_dedup, op6_line_frequency_rules)}
+    return {f.__name__: f for f in (op4_simhash_near_dedup, op6_line_frequency_rules, op7_suffix_array_decontamination)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_line_frequency_rules": quality.SQL}
+    return {"op6_line_frequency_rules": quality.SQL, "op7_suffix_array_decontamination": decontaminate.SQL}
