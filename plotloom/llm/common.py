@@ -7,8 +7,6 @@ from plotloom.session import work_path
 
 #: Words are runs of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Sub-keys over which the rows of one key are numbered.
-SALTS = 64
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,14 +36,14 @@ def row_keys(row: str = "row", cols: tuple[str, ...] = ("doc_id", "text")) -> li
     return [F.xxhash64(*vals, *marks).alias("k1"), F.xxhash64(F.lit("b"), *marks, *reversed(vals)).alias("k2")]
 
 
-def ranked(df: DataFrame, key: str, order: list[str], rank: str = "rank") -> DataFrame:
+def ranked(df: DataFrame, key: str, order: list[str], rank: str = "rank", salts: int = 64) -> DataFrame:
     """Number the rows of each ``key`` from 0 without gaps, whatever the size of a key.
 
-    Rows of a key are dealt over SALTS sub-keys by a hash of ``order``; each sub-key is numbered by itself and starts where
+    Rows of a key are dealt over ``salts`` sub-keys by a hash of ``order``; each sub-key is numbered by itself and starts where
     the counts of the sub-keys before it end. Equal rows under one sub-key get different numbers.
     """
     from pyspark.sql import Window
-    dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)).cast("int"))
+    dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     counts = dealt.groupBy(F.col(key).alias("_key"), F.col("_salt").alias("_of")).agg(F.count("*").alias("_n"))
     starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(
         Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
