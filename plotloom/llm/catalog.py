@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotloom.llm import decontaminate, packing, quality, simhash
+from plotloom.llm import decontaminate, packing, quality, simhash, toxicity
 from plotloom.llm.common import read
 
 
@@ -20,12 +20,17 @@ def op7_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op8_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_minimum_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_near_dedup, op6_line_frequency_rules, op7_suffix_array_decontamination, op9_minimum_slack_packing)}
+    return {f.__name__: f for f in (op4_simhash_near_dedup, op6_line_frequency_rules, op7_suffix_array_decontamination, op8_kneser_ney_toxicity,
+                                   op9_minimum_slack_packing)}
 
 
 def oracles() -> dict[str, str]:
