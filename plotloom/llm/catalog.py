@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotloom.llm import decontaminate, packing, quality, simhash, toxicity
+from plotloom.llm import decontaminate, html, packing, quality, simhash, toxicity
 from plotloom.llm.common import read
 
 
@@ -28,9 +28,13 @@ def op9_minimum_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op10_dom_tree_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op4_simhash_near_dedup, op6_line_frequency_rules, op7_suffix_array_decontamination, op8_kneser_ney_toxicity,
-                                   op9_minimum_slack_packing)}
+                                   op9_minimum_slack_packing, op10_dom_tree_extraction)}
 
 
 def oracles() -> dict[str, str]:
