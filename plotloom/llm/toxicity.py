@@ -23,7 +23,9 @@ from plotloom.llm.quality import LOWER, UPPER
 #: About so many labelled rows of either class are drawn (by a hash of doc_id) for the counts, and as many to fit the scale.
 MAX_DOCS = {1: 5_000, 0: 10_000}
 #: The model holds the most frequent words and bigrams up to these numbers, whatever the sample's texts hold.
-MAX_WORDS, MAX_BIGRAMS = 400_000, 600_000
+MAX_WORDS, MAX_BIGRAMS = 250_000, 250_000
+#: Bigrams whose ratio is as near as this to their word's are left to the word.
+NEAR = 0.25
 DISCOUNT = 0.75
 #: What each word and each preceding word adds to the shared counts; keeps chance words of one class from telling much.
 PRIOR_WORD, PRIOR_BIGRAM = 10.0, 50.0
@@ -122,7 +124,8 @@ def tables(bigrams: DataFrame) -> tuple[DataFrame, DataFrame, float]:
     known = (F.col("lt") > 0) & (F.col("lo") > 0)
     mixed = _ratio(own * both * q["ct"] + (1 - own) * F.col("pt"), own * both * q["co"] + (1 - own) * F.col("po"))
     llr = F.when(known, mixed).otherwise(_ratio(F.col("pt"), F.col("po")))
-    return words, pairs.select("prev", "word", "n", llr.alias("llr")), float(np.log(lam["nt"] / lam["no"]))
+    told = pairs.select("prev", "word", "n", llr.alias("llr"), _ratio(F.col("pt"), F.col("po")).alias("alone")).filter(F.abs(F.col("llr") - F.col("alone")) > NEAR)
+    return words, told.drop("alone"), float(np.log(lam["nt"] / lam["no"]))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -157,6 +160,17 @@ def _scored(rows: DataFrame, model: Model, keep: list[str], features: bool = Fal
     return rows.select(*keep, "text").mapInArrow(run, schema)
 
 
+def _frequent(rows: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows with the highest counts, all those of a count or none, ``most`` at most."""
+    total, least = 0, None
+    for r in rows.groupBy(count).agg(F.count("*").alias("rows")).orderBy(F.desc(count)).collect():
+        total += r.rows
+        if total > most:
+            break
+        least = r[count]
+    return rows.filter(F.col(count) >= least) if least is not None else rows.limit(0)
+
+
 def learned(docs: DataFrame, labels: DataFrame) -> Model:
     """Counts on all folds but the held-out and the scale fold, the scale on the scale fold.
 
@@ -165,13 +179,14 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
     sample = labelled(docs, labels)
     bigrams = saved(counted(sample.filter(F.col("fold") != SCALE)), "bigrams")
     words, pairs, other = tables(bigrams)
-    ws = words.orderBy(F.desc("ns"), "word").limit(MAX_WORDS).select("word", "llr").toPandas()
-    vocab = {b"": 1} | {w.encode(): i + 2 for i, w in enumerate(ws["word"])}
-    ps = pairs.orderBy(F.desc("n"), "prev", "word").limit(MAX_BIGRAMS).select("prev", "word", "llr").toPandas()
-    ps = [(vocab[a.encode()], vocab[b.encode()], r) for a, b, r in zip(ps["prev"], ps["word"], ps["llr"], strict=True) if a.encode() in vocab and b.encode() in vocab]
+    ws = _frequent(words, "ns", MAX_WORDS).select("word", "llr").toArrow()
+    vocab = {b"": 1} | {w: i + 2 for i, w in enumerate(ws["word"].cast(pa.binary()).to_pylist())}
+    ps = _frequent(pairs, "n", MAX_BIGRAMS).select("prev", "word", "llr").toArrow()
+    of = lambda c: [vocab.get(w, -1) for w in ps[c].cast(pa.binary()).to_pylist()]
+    ps = [p for p in zip(of("prev"), of("word"), ps["llr"].to_pylist(), strict=True) if min(p[:2]) >= 0]
     keys = np.array([a * (len(vocab) + 1) + b for a, b, _ in ps], np.int64)
     order = np.argsort(keys)
-    model = Model(vocab, np.r_[other, other, ws["llr"].to_numpy(float)], keys[order], np.array([r for *_, r in ps], float)[order], np.zeros(2 + len(RUNS)))
+    model = Model(vocab, np.r_[other, other, ws["llr"].to_numpy()], keys[order], np.array([r for *_, r in ps], float)[order], np.zeros(2 + len(RUNS)))
     fits = _scored(sample.filter(F.col("fold") == SCALE), model, ["toxic"], features=True).toPandas()
     model.weights = _logistic(np.array(fits["score"].tolist(), float).reshape(-1, 1 + len(RUNS)), fits["toxic"].to_numpy(float))
     return model
