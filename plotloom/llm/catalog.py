@@ -4,10 +4,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotloom.llm import decontaminate, html, packing, quality, simhash, toxicity
+from plotloom.llm import decontaminate, html, packing, quality, sharding, simhash, toxicity
 from plotloom.llm.common import read
 
 
+def op3_extendible_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(read(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -33,9 +37,9 @@ def op10_dom_tree_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_near_dedup, op6_line_frequency_rules, op7_suffix_array_decontamination, op8_kneser_ney_toxicity,
+    return {f.__name__: f for f in (op3_extendible_hash_sharding, op4_simhash_near_dedup, op6_line_frequency_rules, op7_suffix_array_decontamination, op8_kneser_ney_toxicity,
                                    op9_minimum_slack_packing, op10_dom_tree_extraction)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_line_frequency_rules": quality.SQL, "op7_suffix_array_decontamination": decontaminate.SQL}
+    return {"op3_extendible_hash_sharding": sharding.SQL, "op6_line_frequency_rules": quality.SQL, "op7_suffix_array_decontamination": decontaminate.SQL}
