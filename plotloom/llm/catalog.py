@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotloom.llm import decontaminate, html, licenses, packing, quality, sharding, simhash, toxicity
+from plotloom.llm import decontaminate, html, licenses, packing, quality, sharding, simhash, tokenfiles, toxicity
 from plotloom.llm.common import read
 
 
@@ -12,6 +12,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(read(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.pieces(tokenfiles.written(read(spark, sf_dir, "documents")))
+
+
 def op3_extendible_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def op10_dom_tree_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op3_extendible_hash_sharding, op4_simhash_near_dedup, op6_line_frequency_rules, op7_suffix_array_decontamination, op8_kneser_ney_toxicity,
+    return {f.__name__: f for f in (op1_license_scan, op2_best_fit_token_files, op3_extendible_hash_sharding, op4_simhash_near_dedup, op6_line_frequency_rules, op7_suffix_array_decontamination, op8_kneser_ney_toxicity,
                                    op9_minimum_slack_packing, op10_dom_tree_extraction)}
 
 
