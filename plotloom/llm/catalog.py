@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotloom.llm import decontaminate, html, licenses, packing, quality, sharding, simhash, tokenfiles, toxicity
+from plotloom.llm import decontaminate, html, licenses, lmscore, packing, quality, sharding, simhash, tokenfiles, toxicity
 from plotloom.llm.common import read
 
 
@@ -24,6 +24,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op5_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.scored(read(spark, sf_dir, "documents"))
+
+
 def op6_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(read(spark, sf_dir, "documents"))
 
@@ -45,7 +49,8 @@ def op10_dom_tree_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_best_fit_token_files, op3_extendible_hash_sharding, op4_simhash_near_dedup, op6_line_frequency_rules, op7_suffix_array_decontamination, op8_kneser_ney_toxicity,
+    return {f.__name__: f for f in (op1_license_scan, op2_best_fit_token_files, op3_extendible_hash_sharding, op4_simhash_near_dedup, op5_masked_pseudo_likelihood,
+                                   op6_line_frequency_rules, op7_suffix_array_decontamination, op8_kneser_ney_toxicity,
                                    op9_minimum_slack_packing, op10_dom_tree_extraction)}
 
 
