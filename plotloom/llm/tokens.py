@@ -17,7 +17,9 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces and ids that a task keeps at most; beyond that the memory starts anew.
-KEEP_PIECES, KEEP_IDS = 600_000, 6_000_000
+KEEP_PIECES, KEEP_IDS = 250_000, 3_000_000
+#: Characters that are worked on at once (one text alone may be longer).
+CHARS = 1_500_000
 
 _SPACE = np.isin(np.arange(256), [9, 10, 13, 32])
 #: Printable bytes stand for themselves, the others for characters from 256 on: the alphabet of byte-level vocabularies.
@@ -75,6 +77,16 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text as unsigned 32-bit numbers; null is empty."""
+        out: list[np.ndarray] = []
+        at, chars = 0, 0
+        for i, t in enumerate(texts):
+            chars += len(t or "")
+            if chars > CHARS or i == len(texts) - 1:
+                out += self._encode(texts[at:i + 1])
+                at, chars = i + 1, 0
+        return out
+
+    def _encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.place) > KEEP_PIECES or len(self.flat) > KEEP_IDS:
             self._forget()
         odd = {i: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") for i, t in enumerate(texts) if t and OTHER.search(t)}
