@@ -5,6 +5,7 @@ summed into one 3x3 block per survey pair, and only those blocks reach the per-v
 """
 
 import math
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,12 @@ from plotloom.session import cut_lineage
 
 F_SCALE = 1.5
 SIGMA_START, SIGMA_START_DEG = 10.0, 10.0
-STEP = "village string, survey string, d_theta double, d_tx double, d_ty double, sigma_head_deg double, sigma_pos_m double"
+STEP = "village string, survey string, d_theta double, d_tx double, d_ty double"
+SIGMAS = "village string, survey string, sigma_head_deg double, sigma_pos_m double"
+#: Surveys whose sigmas one task works out.
+SIGMA_SLICE = 32
+#: Rounds after which a village that still moves is an error, not a result.
+GIVE_UP = 500
 OBS = ("village", "kind", "a", "pax", "pay", "b", "q1x", "q1y", "q2x", "q2y", "sigma")
 
 
@@ -103,13 +109,13 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return e.groupBy("village", "i", "j").agg(*sums)
 
 
-def block_adjust(free: DataFrame, fixed: DataFrame, obs: DataFrame | None, priors: DataFrame | None = None, max_rounds: int = 25,
+def block_adjust(free: DataFrame, fixed: DataFrame, obs: DataFrame | None, priors: DataFrame | None = None,
                  tol: float = 1e-7) -> DataFrame:
     """Adjusted pose of every free survey, its change and its sigmas; fixed surveys never move.
 
     ``free`` and ``fixed``: village, survey, theta (degrees), tx, ty. Without ``priors`` each start pose is
     its own weak prior (10 m, 10 degrees). Coordinates are taken from the village's mean position; a village
-    leaves the loop once its largest step is below ``tol``.
+    leaves the loop once its largest step is below ``tol``; one that never does is an error.
     """
     cols = ["village", "survey", "theta", "tx", "ty"]
     origin = free.groupBy("village").agg(F.avg("tx").alias("_ox"), F.avg("ty").alias("_oy"))
@@ -128,21 +134,27 @@ def block_adjust(free: DataFrame, fixed: DataFrame, obs: DataFrame | None, prior
             F.when(grounded, F.col(c) - F.col("_ox" if c.endswith("x") else "_oy")).otherwise(F.col(c)).alias(c) if c in ("q1x", "q1y", "q2x", "q2y") else F.col(c)
             for c in OBS])
         obs = cut_lineage(obs)
-    poses = start.withColumns({"sigma_head_deg": F.lit(None).cast("double"), "sigma_pos_m": F.lit(None).cast("double"), "live": F.col("free")})
-    for _ in range(max_rounds):
+    def residuals(poses):
+        rows = _prior_rows(poses, pr)
+        return rows if obs is None else _scalar_rows(obs, poses).unionByName(rows)
+    poses = start.withColumn("live", F.col("free"))
+    for number in count():
         going = poses.filter("live").select("village").distinct()
         if going.isEmpty():
             break
-        rows = _prior_rows(poses, pr)
-        if obs is not None:
-            rows = _scalar_rows(obs, poses).unionByName(rows)
+        if number == GIVE_UP:
+            raise RuntimeError(f"still moving after {GIVE_UP} rounds: {[r.village for r in going.limit(5).collect()]}")
+        rows = residuals(poses)
         step = _blocks(rows.join(going, "village", "left_semi")).groupBy("village").applyInPandas(kernels.solve_village, STEP)
         big = step.groupBy("village").agg((F.max(F.greatest(F.abs(F.col("d_theta") * 100.0), F.abs("d_tx"), F.abs("d_ty"))) > tol).alias("_more"))
-        s = step.select("village", "survey", "d_theta", "d_tx", "d_ty", F.col("sigma_head_deg").alias("_sh"), F.col("sigma_pos_m").alias("_sp"))
-        j = poses.join(s, ["village", "survey"], "left").join(big, "village", "left")
+        j = poses.join(step, ["village", "survey"], "left").join(big, "village", "left")
         poses = cut_lineage(j.select("village", "survey", *[(F.col(c) + F.coalesce(f"d_{c}", F.lit(0.0))).alias(c) for c in ("theta", "tx", "ty")], "free", "_ox", "_oy",
-                                     F.coalesce("_sh", "sigma_head_deg").alias("sigma_head_deg"), F.coalesce("_sp", "sigma_pos_m").alias("sigma_pos_m"),
                                      (F.col("free") & F.coalesce("_more", F.lit(False))).alias("live")))
+    blocks = cut_lineage(_blocks(residuals(poses)))
+    parts = poses.filter("free").groupBy("village").agg(F.ceil(F.count("*") / SIGMA_SLICE).cast("int").alias("slices"))
+    spread = blocks.join(parts, "village").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    sigmas = spread.groupBy("village", "slice").applyInPandas(kernels.village_sigmas, SIGMAS)
+    poses = poses.join(sigmas, ["village", "survey"], "left")
     th = F.degrees("theta")
     began = free.select("village", "survey", F.col("theta").alias("th0"), F.col("tx").alias("tx0"), F.col("ty").alias("ty0"))
     out = poses.filter("free").select("village", "survey", th.alias("theta"), (F.col("tx") + F.col("_ox")).alias("tx"), (F.col("ty") + F.col("_oy")).alias("ty"),

@@ -24,7 +24,7 @@ def frozen_anchor_select(files: DataFrame, tool_written: DataFrame, keys: list[s
 def disputed_reasons(audit: DataFrame, conflicts: DataFrame, manual: DataFrame) -> DataFrame:
     """All reasons a survey cannot be a reference, in source order."""
     def rows(df, src, pos, side, reason):
-        return df.select("survey", F.struct(F.lit(src).alias("s"), pos.cast("bigint").alias("p"), F.lit(side).alias("d"), reason.alias("why")).alias("r"))
+        return df.select("village", "survey", F.struct(F.lit(src).alias("s"), pos.cast("bigint").alias("p"), F.lit(side).alias("d"), reason.alias("why")).alias("r"))
     zero = F.lit(0)
     mismatch = rows(audit.filter(F.col("verdict").contains("identity mismatch")), 0, zero, 0,
                     F.lit("Puvi and the portal describe different parcels"))
@@ -33,22 +33,23 @@ def disputed_reasons(audit: DataFrame, conflicts: DataFrame, manual: DataFrame)
              F.concat(F.lit("railway land conflict with "), "survey_a"))
     listed = rows(manual, 2, zero, 0, F.coalesce(tx.blank_to_null(F.col("reason")), F.lit("listed in disputed.csv")))
     every = mismatch.unionByName(a).unionByName(b).unionByName(listed)
-    return every.groupBy("survey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["why"]), "; ").alias("reason"))
+    return every.groupBy("village", "survey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["why"]), "; ").alias("reason"))
 
 
 def anchors_table(anchors: DataFrame, superseded: DataFrame, conflicts: DataFrame) -> DataFrame:
     """One report row per anchor; a conflict shows on both of its ends."""
-    ends = conflicts.select(F.explode(F.array(F.struct(F.col("a").alias("survey"), F.col("b").alias("o")),
+    key = ["village", "survey"]
+    ends = conflicts.select("village", F.explode(F.array(F.struct(F.col("a").alias("survey"), F.col("b").alias("o")),
                                               F.struct(F.col("b").alias("survey"), F.col("a").alias("o")))).alias("e"), "p90_gap_m")
     text = F.format_string("%s (%.2f m)", F.col("e.o"), F.col("p90_gap_m"))
     item = F.struct(tx.survey_order(F.col("e.o")).alias("n"), F.col("e.o").alias("o"), text.alias("t"))
-    listed = ends.groupBy("e.survey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda e: e["t"]), ";").alias("conflicts"))
-    old = superseded.groupBy("survey").agg(F.array_join(F.transform(
+    listed = ends.groupBy("village", "e.survey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda e: e["t"]), ";").alias("conflicts"))
+    old = superseded.groupBy(*key).agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("mtime", "file")), asc=False), lambda e: e["file"]), ";").alias("superseded_files"))
-    return (anchors.join(old, "survey", "left").join(listed, "survey", "left")
+    return (anchors.join(old, key, "left").join(listed, key, "left")
             .withColumns({"heading_deg": F.round("theta", 3), "fingerprint": F.substring("fingerprint", 1, 16),
                           "superseded_files": F.coalesce("superseded_files", F.lit("")), "conflicts": F.coalesce("conflicts", F.lit(""))})
-            .orderBy(tx.survey_order(F.col("survey")), "survey"))
+            .orderBy("village", tx.survey_order(F.col("survey")), "survey"))
 
 
 def plot_key_join(stored: DataFrame, edited: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -22,15 +22,16 @@ def tool_fingerprints(status: DataFrame, columns: list[str]) -> DataFrame:
 
 def common_plots(a: DataFrame, b: DataFrame) -> DataFrame:
     """Plots of two layers paired by id; surveys sharing no id are paired by descending area."""
-    shared = a.select("survey", "poly_id").join(b.select("survey", "poly_id"), ["survey", "poly_id"])
+    key = ["village", "survey"]
+    shared = a.select(*key, "poly_id").join(b.select(*key, "poly_id"), [*key, "poly_id"])
 
     def ranked(df, name):
-        w = W.partitionBy("survey").orderBy(F.desc("area"), "poly_id")      # plots of one sheet
-        return df.select("survey", F.col("poly_id").alias(name), F.row_number().over(w).alias("k"))
-    lone = a.join(shared.select("survey").distinct(), "survey", "left_anti")
-    by_area = ranked(lone, "poly_id").join(ranked(b, "other_id"), ["survey", "k"])
-    return (shared.select("survey", "poly_id", F.col("poly_id").alias("other_id"), F.lit("id").alias("how"))
-            .unionByName(by_area.select("survey", "poly_id", "other_id", F.lit("area").alias("how"))))
+        w = W.partitionBy(*key).orderBy(F.desc("area"), "poly_id")      # plots of one sheet
+        return df.select(*key, F.col("poly_id").alias(name), F.row_number().over(w).alias("k"))
+    lone = a.join(shared.select(*key).distinct(), key, "left_anti")
+    by_area = ranked(lone, "poly_id").join(ranked(b, "other_id"), [*key, "k"])
+    return (shared.select(*key, "poly_id", F.col("poly_id").alias("other_id"), F.lit("id").alias("how"))
+            .unionByName(by_area.select(*key, "poly_id", "other_id", F.lit("area").alias("how"))))
 
 
 def side_vector(letters: Column) -> Column:

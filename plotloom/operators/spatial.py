@@ -70,10 +70,11 @@ def resolve_labels(plots: DataFrame, assigned: DataFrame, kind: str) -> DataFram
     named reserve among several tokens.
     """
     c = geo.vertex_mean(F.col("rings")[0])
-    mean = plots.select("plot_id", c["x"].alias("_cx"), c["y"].alias("_cy"))
+    key = ["village", "plot_id"]
+    mean = plots.select(*key, c["x"].alias("_cx"), c["y"].alias("_cy"))
     named = ~F.col("label").rlike(r"\A[0-9.]*[0-9][0-9.]*\z")
     item = F.struct(F.hypot(F.col("x") - F.col("_cx"), F.col("y") - F.col("_cy")).alias("d"), "label_id", F.col("label").alias("t"), named.alias("named"))
-    g = (assigned.filter("plot_id is not null").join(mean, "plot_id").groupBy("plot_id")
+    g = (assigned.filter("plot_id is not null").join(mean, key).groupBy(*key)
          .agg(F.array_sort(F.collect_list(item)).alias("ls")))
     texts = F.transform("ls", lambda e: e["t"])
     n = F.coalesce(F.size("ls"), F.lit(0))
@@ -84,7 +85,7 @@ def resolve_labels(plots: DataFrame, assigned: DataFrame, kind: str) -> DataFram
         single = F.when(F.size(only) == 1, F.get(only, F.lit(0))["t"])
         no = F.when(F.size("ls") == 1, F.get(texts, F.lit(0))).otherwise(single)
         count, alts = F.when(no.isNotNull(), 1).otherwise(n), F.lit(None).cast("string")
-    out = plots.join(g, "plot_id", "left").withColumns({"plot_no": no, "n_labels_in_polygon": count, "alt_labels": tx.blank_to_null(alts)})
+    out = plots.join(g, key, "left").withColumns({"plot_no": no, "n_labels_in_polygon": count, "alt_labels": tx.blank_to_null(alts)})
     has = F.coalesce(F.col("plot_no") != "", F.lit(False))
     source = "pdf_text_layer" if kind == "layout" else "glyph_outline"
     return (out.withColumns({"numbered": has.cast("int"), "review_needed": (has & (F.col("n_labels_in_polygon") > 1)).cast("int"),

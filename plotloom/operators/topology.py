@@ -199,7 +199,7 @@ def conform(moving: DataFrame, settled: DataFrame, ranks: list[int]) -> DataFram
 def yield_plan(overlaps: DataFrame) -> DataFrame:
     """Who gives way in every residual overlap.
 
-    ``overlaps``: a, b, overlap_sqm, area_a, area_b, movable_a/b, rail_a/b, rank_a/b (smaller = more certain).
+    ``overlaps``: village, a, b, overlap_sqm, area_a, area_b, movable_a/b, rail_a/b, rank_a/b (smaller = more certain).
     A strip keeps its shape against an ordinary parcel, the team's parcel against ours, the more certain
     against the less certain; a loss above a quarter is refused, and two fixed parcels are left alone.
     """
@@ -211,12 +211,12 @@ def yield_plan(overlaps: DataFrame) -> DataFrame:
     area = F.when(a_yields, F.col("area_a")).otherwise(F.col("area_b"))
     act = (F.when(~can, "report only").when(F.col("overlap_sqm") > area * GUARD_FRACTION, "refused").otherwise("clip"))
     return (overlaps.filter((F.col("overlap_sqm") > MIN_AREA) & (ma | mb))
-            .select("a", "b", "overlap_sqm", y.alias("yields"), k.alias("keeps"), act.alias("action"), strip.alias("rail_conflict")))
+            .select("village", "a", "b", "overlap_sqm", y.alias("yields"), k.alias("keeps"), act.alias("action"), strip.alias("rail_conflict")))
 
 
 def conflict_table(plan: DataFrame) -> DataFrame:
     """Strip against parcel, each pair once, for review."""
-    return (plan.filter("rail_conflict").groupBy(F.col("a").alias("survey_a"), F.col("b").alias("survey_b"))
+    return (plan.filter("rail_conflict").groupBy("village", F.col("a").alias("survey_a"), F.col("b").alias("survey_b"))
             .agg(F.round(F.max("overlap_sqm"), 2).alias("overlap_sqm")).withColumn("note", F.lit(CONFLICT_NOTE)))
 
 

@@ -158,7 +158,7 @@ DERIVED: dict[str, str] = {
              case when l_orderkey%3=0 then 'False' when l_orderkey%3=1 then 'True' else '' end as observable,
              case when l_partkey%4=0 then 'true' when l_partkey%4=1 then '0' else '' end as ambiguous,
              case when l_partkey%7<5 then null else l_partkey%7-4 end as side_bad,
-             case l_suppkey%4 when 0 then '' when 1 then '40A' when 2 then '40A,42,,9' else '7,' end as printed_far,
+             case l_suppkey%5 when 0 then '' when 1 then '40A' when 2 then '40A,42,,9' when 3 then '7,' end as printed_far,
              case when l_suppkey%3=0 then null else l_partkey%3 end as contradictions,
              cast(l_suppkey%8 as double)/4 as anchor_rms_m,
              case when l_orderkey%4=0 then null else l_orderkey%4-1 end as anchor_partners,
@@ -229,12 +229,12 @@ DERIVED: dict[str, str] = {
       from files_fx join (select o_orderkey as ok from orders) o on ok=o_orderkey""",
     "independent_fx": """
       select village, ukey, min(area) as area, min(cx) as cx, min(cy) as cy
-      from (select village, case when o_orderkey%2=0 then unit else base end as ukey, cast(o_orderkey%2048+1 as double)/2 as area,
-                   cast(o_orderkey%900 as double)/8 as cx, cast(o_orderkey%888 as double)/8 as cy from files_fx where o_orderkey%3=0) k
+      from (select village, case when o_orderkey%3>0 then concat('none-', cast(o_orderkey as string)) when o_orderkey%2=0 then unit else base end as ukey, cast(o_orderkey%2048+1 as double)/2 as area,
+                   cast(o_orderkey%900 as double)/8 as cx, cast(o_orderkey%888 as double)/8 as cy from files_fx) k
       group by village, ukey""",
     "scale_table_fx": """
-      select village, base as survey_no, min(case o_orderkey%4 when 0 then 500 when 1 then 800 when 2 then 1000 else 2000 end) as scale
-      from files_fx where o_orderkey%6=0 group by village, base""",
+      select village, case when o_orderkey%6=0 then base else concat('none-', cast(o_orderkey as string)) end as survey_no, min(case o_orderkey%4 when 0 then 500 when 1 then 800 when 2 then 1000 else 2000 end) as scale
+      from files_fx group by 1, 2""",
     "path_ops_fx": """
       select i, 1 as k, 'm' as op, x1 as px, y1 as py, x1 as qx, y1 as qy from lattice_fx
       union all select i, 2, 'l', x2, y2, x2, y2 from lattice_fx
@@ -290,7 +290,7 @@ DERIVED: dict[str, str] = {
              case l_quantity when 1 then '' else case cast(l_quantity as int)%4 when 0 then 'n' when 1 then 'E' when 2 then 'S' else 'W' end end as side,
              concat('reader', cast(l_linenumber%3 as string)) as reader,
              case when l_returnflag='A' then 'high' else 'low' end as confidence
-      from lineitem where l_linestatus='O'""",
+      from lineitem""",
 }
 
 

@@ -123,28 +123,32 @@ def _fps(fx):
 
 
 @query("common_plots", """
-  with a as (select survey, poly_id, x1 as area_a from lattice_fx where p_size%4<>0), b as (select survey, poly_id, y1 as area_b from lattice_fx where p_size%5<>0),
-  shared as (select a.survey, a.poly_id, b.poly_id as other_id from a join b on a.survey=b.survey and a.poly_id=b.poly_id),
-  ra as (select *, row_number() over (partition by survey order by area_a desc, poly_id) as k from a where survey not in (select survey from shared)),
-  rb as (select *, row_number() over (partition by survey order by area_b desc, poly_id) as k from b)
-  select survey, poly_id, other_id, 'id' as how from shared
-  union all select ra.survey, ra.poly_id, rb.poly_id, 'area' from ra join rb on ra.survey=rb.survey and ra.k=rb.k""")
+  with a as (select village, cast(cast(survey as int)%50 as varchar) as survey, i as poly_id, x1 as area_a from lattice_fx),
+  b as (select village, cast(cast(survey as int)%50 as varchar) as survey, case when cast(survey as int)%3=0 then i+1000000 when p_size%5=0 then i+2000000 else i end as poly_id, y1 as area_b from lattice_fx),
+  shared as (select a.village, a.survey, a.poly_id, b.poly_id as other_id from a join b on a.village=b.village and a.survey=b.survey and a.poly_id=b.poly_id),
+  ra as (select *, row_number() over (partition by village, survey order by area_a desc, poly_id) as k from a where (village, survey) not in (select (village, survey) from shared)),
+  rb as (select *, row_number() over (partition by village, survey order by area_b desc, poly_id) as k from b)
+  select village, survey, poly_id, other_id, 'id' as how from shared
+  union all select ra.village, ra.survey, ra.poly_id, rb.poly_id, 'area' from ra join rb on ra.village=rb.village and ra.survey=rb.survey and ra.k=rb.k""")
 def _common(fx):
     from plotloom.operators import neighbours as nb
-    a = fx.lattice_fx.filter("p_size % 4 <> 0").select("survey", "poly_id", F.col("x1").alias("area"))
-    b = fx.lattice_fx.filter("p_size % 5 <> 0").select("survey", "poly_id", F.col("y1").alias("area"))
+    n = F.col("survey").cast("int")
+    key = ["village", (n % 50).cast("string").alias("survey")]
+    a = fx.lattice_fx.select(*key, F.col("i").alias("poly_id"), F.col("x1").alias("area"))
+    other = F.when(n % 3 == 0, F.col("i") + 1000000).when(F.col("p_size") % 5 == 0, F.col("i") + 2000000).otherwise(F.col("i"))
+    b = fx.lattice_fx.select(*key, other.alias("poly_id"), F.col("y1").alias("area"))
     return nb.common_plots(a, b)
 
 
 _REF = """reference_rows as (select cast(c_custkey%10 as varchar) as village, cast(c_custkey as varchar) as survey, case when c_custkey%2=0 then 'points' else 'geometry' end as ref_source,
    cast(c_custkey%33 as double)/8 as ref_rms_m, 1+cast(c_custkey%65-32 as double)/256 as ref_area_scale, case when c_custkey%11=0 then 1 else 0 end as stretched,
-   case when c_custkey%13=0 then 1 else 0 end as disputed from customer where c_nationkey<20)"""
+   case when c_custkey%13=0 then 1 else 0 end as disputed from customer)"""
 
 
 def _refs(fx):
     k = F.col("c_custkey")
     null = F.lit(None).cast("double")
-    return fx.customer.filter("c_nationkey < 20").select(
+    return fx.customer.select(
         (k % 10).cast("string").alias("village"), k.cast("string").alias("survey"),
         F.when(k % 2 == 0, "points").otherwise("geometry").alias("ref_source"), ((k % 33).cast("double") / 8).alias("ref_rms_m"),
         (((k % 65) - 32).cast("double") / 256 + 1).alias("ref_area_scale"), null.alias("ref_stretch_long_pct"), null.alias("ref_stretch_short_pct"),

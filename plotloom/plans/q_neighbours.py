@@ -83,19 +83,20 @@ def _sides(fx):
 
 
 @query("disputed_reasons", """
-  with c as (select l_suppkey, l_partkey%100 as o, l_orderkey, l_linenumber from lineitem where l_linenumber=7 and l_orderkey%50=0),
-  r as (select cast(s_suppkey as varchar) as survey, 0 as src, 0 as p1, 0 as p2, 'Puvi and the portal describe different parcels' as reason from supplier where s_nationkey%3=0
-    union all select cast(l_suppkey as varchar), 1, l_orderkey, 0, concat('railway land conflict with ', o) from c
-    union all select cast(o as varchar), 1, l_orderkey, 1, concat('railway land conflict with ', l_suppkey) from c where o<>l_suppkey
-    union all select cast(s_suppkey as varchar), 2, 0, 0, case when s_nationkey%2=0 then 'team doubts it' else 'listed in disputed.csv' end from supplier where s_nationkey%7=0)
-  select survey, string_agg(reason, '; ' order by src, p1, p2, reason) as reason from r group by survey""")
+  with c as (select l_orderkey%50 as v, l_suppkey, l_partkey%100 as o, l_orderkey, l_linenumber from lineitem),
+  r as (select cast(s_nationkey as varchar) as village, cast(s_suppkey as varchar) as survey, 0 as src, 0 as p1, 0 as p2, 'Puvi and the portal describe different parcels' as reason from supplier where s_nationkey%3=0
+    union all select cast(v as varchar), cast(l_suppkey as varchar), 1, l_orderkey, 0, concat('railway land conflict with ', o) from c
+    union all select cast(v as varchar), cast(o as varchar), 1, l_orderkey, 1, concat('railway land conflict with ', l_suppkey) from c where o<>l_suppkey
+    union all select cast(s_nationkey as varchar), cast(s_suppkey as varchar), 2, 0, 0, case when s_nationkey%2=0 then 'team doubts it' else 'listed in disputed.csv' end from supplier where s_nationkey%7=0)
+  select village, survey, string_agg(reason, '; ' order by src, p1, p2, reason) as reason from r group by village, survey""")
 def _disputed(fx):
     from plotloom.operators import inventory_audit as au
     s = fx.supplier
-    audit = s.select(F.col("s_suppkey").cast("string").alias("survey"), F.when(F.col("s_nationkey") % 3 == 0, "identity mismatch (area)").otherwise("agree").alias("verdict"))
-    conflicts = fx.lineitem.filter("l_linenumber = 7 and l_orderkey % 50 = 0").select(
-        F.col("l_suppkey").cast("string").alias("survey_a"), (F.col("l_partkey") % 100).cast("string").alias("survey_b"), F.col("l_orderkey").alias("pos"))
-    manual = s.filter("s_nationkey % 7 = 0").select(F.col("s_suppkey").cast("string").alias("survey"),
+    village = F.col("s_nationkey").cast("string").alias("village")
+    audit = s.select(village, F.col("s_suppkey").cast("string").alias("survey"), F.when(F.col("s_nationkey") % 3 == 0, "identity mismatch (area)").otherwise("agree").alias("verdict"))
+    conflicts = fx.lineitem.select(
+        (F.col("l_orderkey") % 50).cast("string").alias("village"), F.col("l_suppkey").cast("string").alias("survey_a"), (F.col("l_partkey") % 100).cast("string").alias("survey_b"), F.col("l_orderkey").alias("pos"))
+    manual = s.filter("s_nationkey % 7 = 0").select(village, F.col("s_suppkey").cast("string").alias("survey"),
                                                    F.when(F.col("s_nationkey") % 2 == 0, "team doubts it").otherwise("").alias("reason"))
     return au.disputed_reasons(audit, conflicts, manual)
 
@@ -120,21 +121,22 @@ def _frozen(fx):
 
 
 @query("anchors_table", """
-  with c as (select l_suppkey as a, l_partkey%100 as b, round(min(l_quantity)/8+0.001::double,3) as gap from lineitem where l_orderkey%40=0 and l_suppkey<l_partkey%100 group by 1,2),
-  e as (select a as s, b as o, gap from c union all select b, a, gap from c),
-  cf as (select s, string_agg(printf('%d (%.2f m)', o, gap), ';' order by o) as conflicts from e group by s),
-  old as (select o_custkey%100 as s, string_agg(concat('f', o_orderkey, '.gpkg'), ';' order by o_orderkey desc) as sup from orders where o_orderkey%20=0 group by 1)
-  select cast(s_suppkey as varchar) as survey, round(cast((s_suppkey*37)%360 as double),3) as heading_deg, substr(sha256(cast(s_suppkey as varchar)),1,16) as fingerprint,
-    coalesce(sup,'') as superseded_files, coalesce(conflicts,'') as conflicts from supplier left join cf on cf.s=s_suppkey left join old on old.s=s_suppkey""")
+  with c as (select l_orderkey%25 as v, l_suppkey as a, l_partkey%100 as b, round(min(l_quantity)/8+0.001::double,3) as gap from lineitem where l_suppkey<l_partkey%100 group by 1,2,3),
+  e as (select v, a as s, b as o, gap from c union all select v, b, a, gap from c),
+  cf as (select v, s, string_agg(printf('%d (%.2f m)', o, gap), ';' order by o) as conflicts from e group by v, s),
+  old as (select o_orderkey%25 as v, o_custkey%100 as s, string_agg(concat('f', o_orderkey, '.gpkg'), ';' order by o_orderkey desc) as sup from orders group by 1,2)
+  select cast(s_nationkey as varchar) as village, cast(s_suppkey as varchar) as survey, round(cast((s_suppkey*37)%360 as double),3) as heading_deg, substr(sha256(cast(s_suppkey as varchar)),1,16) as fingerprint,
+    coalesce(sup,'') as superseded_files, coalesce(conflicts,'') as conflicts from supplier left join cf on cf.s=s_suppkey and cf.v=s_nationkey left join old on old.s=s_suppkey and old.v=s_nationkey""")
 def _anchors(fx):
     from plotloom.operators import inventory_audit as au
     k = F.col("s_suppkey")
-    anchors = fx.supplier.select(k.cast("string").alias("survey"), ((k * 37) % 360).cast("double").alias("theta"), F.sha2(k.cast("string"), 256).alias("fingerprint"))
-    sup = fx.orders.filter("o_orderkey % 20 = 0").select((F.col("o_custkey") % 100).cast("string").alias("survey"),
+    v = (F.col("o_orderkey") % 25).cast("string").alias("village")
+    anchors = fx.supplier.select(F.col("s_nationkey").cast("string").alias("village"), k.cast("string").alias("survey"), ((k * 37) % 360).cast("double").alias("theta"), F.sha2(k.cast("string"), 256).alias("fingerprint"))
+    sup = fx.orders.select(v, (F.col("o_custkey") % 100).cast("string").alias("survey"),
                                                         F.concat(F.lit("f"), "o_orderkey", F.lit(".gpkg")).alias("file"), F.col("o_orderkey").alias("mtime"))
-    conf = (fx.lineitem.filter("l_orderkey % 40 = 0 and l_suppkey < l_partkey % 100").groupBy(F.col("l_suppkey").cast("string").alias("a"), (F.col("l_partkey") % 100).cast("string").alias("b"))
+    conf = (fx.lineitem.filter("l_suppkey < l_partkey % 100").groupBy((F.col("l_orderkey") % 25).cast("string").alias("village"), F.col("l_suppkey").cast("string").alias("a"), (F.col("l_partkey") % 100).cast("string").alias("b"))
             .agg(F.round(F.min("l_quantity") / 8 + 0.001, 3).alias("p90_gap_m")))
-    return au.anchors_table(anchors, sup, conf).select("survey", "heading_deg", "fingerprint", "superseded_files", "conflicts")
+    return au.anchors_table(anchors, sup, conf).select("village", "survey", "heading_deg", "fingerprint", "superseded_files", "conflicts")
 
 
 @query("plot_key_join", """

@@ -17,7 +17,7 @@ def _rank(fx):
 
 
 @query("runner_up_support", f"""
-  with r as {_RANKED}, b as (select * from r where rank=1),
+  with r as materialized {_RANKED}, b as materialized (select * from r where rank=1),
   n as (select r.survey, arg_min(r.support, r.rank) as nxt from r join b on b.survey=r.survey where sqrt((r.land_x-b.land_x)^2+(r.land_y-b.land_y)^2)>=5
      or abs(((((r.theta-b.theta+180)%360)+360)%360)-180)>=3 group by 1)
   select b.survey, b.support as support_m, coalesce(nxt, 0.0::double) as support_next_m from b left join n on n.survey=b.survey""")
@@ -51,8 +51,8 @@ def _choose(fx):
 
 @query("competitor_margin", """
   with s as (select survey, theta%24 as theta, land_x/8 as tx, land_y/4 as ty, support/64 as share, l_orderkey, l_linenumber, l_partkey, l_suppkey from candidates_fx),
-  r as (select *, row_number() over (partition by survey order by share desc, l_orderkey, l_linenumber, l_partkey, l_suppkey) as k from s), b as (select * from r where k=1),
-  j as (select r.*, b.theta as bt, b.tx as bx, b.ty as b_y, b.share as bs, sqrt((r.tx-b.tx)^2+(r.ty-b.ty)^2) as off, abs(((((r.theta-b.theta+180)%360)+360)%360)-180) as turn from r join b on b.survey=r.survey),
+  r as materialized (select *, row_number() over (partition by survey order by share desc, l_orderkey, l_linenumber, l_partkey, l_suppkey) as k from s), b as materialized (select * from r where k=1),
+  j as materialized (select r.*, b.theta as bt, b.tx as bx, b.ty as b_y, b.share as bs, sqrt((r.tx-b.tx)^2+(r.ty-b.ty)^2) as off, abs(((((r.theta-b.theta+180)%360)+360)%360)-180) as turn from r join b on b.survey=r.survey),
   o as (select survey, arg_min(struct_pack(s:=share, dx:=tx-bx, dy:=ty-b_y), k) as alt from j where off>3 or turn>3 group by survey),
   p as (select survey, count(*) filter (where share>=bs*0.75 and off>3) as peaks from j group by survey)
   select b.survey, b.theta, b.tx, b.ty, b.share, b.share-coalesce(alt.s,0) as margin, peaks, case when b.share-coalesce(alt.s,0)<0.15 or peaks>0 then 1 else 0 end as ambiguous,

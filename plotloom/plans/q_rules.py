@@ -16,7 +16,7 @@ def typed(fx):
 
 
 @query("colour_verdict", f"""
-  with t as (select *, coalesce(contradictions, pf+coalesce(side_bad,0)) as contra, coalesce(boundary_rms_m <= coalesce(anchor_rms_m,0)+0.30::double, false) as anch,
+  with t as (select *, coalesce(contradictions, coalesce(pf,0)+coalesce(side_bad,0)) as contra, coalesce(boundary_rms_m <= coalesce(anchor_rms_m,0)+0.30::double, false) as anch,
      share>=0.85 and obs=1 as strong, share>=0.45 and obs=1 as weak, coalesce(support_m,0)>0 and coalesce(support_next_m,0)<=support_m*0.80::double as dec from {_TYPED} s),
   c as (select *, case when method='puvi-only' then 'red' when contra>=2 then 'red' when boundary_rms_m>5 then 'red' when amb=1 and boundary_rms_m is null then 'red'
      when n_neighbours<=1 and not (strong or weak) then 'red' when contra<>0 then case when anch or strong or weak then 'amber' else 'red' end

@@ -37,12 +37,12 @@ def _assign(fx):
   m as (select i, avg(x) as cx, avg(y) as cy from ring_vertices_fx where ring_no=0 group by 1),
   d as (select h.*, row_number() over (partition by plot_id order by sqrt((x-cx)^2+(y-cy)^2), label_id) as k, count(*) over (partition by plot_id) as n from h join m on m.i=plot_id),
   g as (select plot_id, max(n) as n, max(case when k=1 then label end) as plot_no, string_agg(label,'/' order by k) filter (where k>1) as alt from d group by 1)
-  select i as plot_id, g.plot_no, coalesce(n,0) as n_labels_in_polygon, alt as alt_labels, case when g.plot_no is not null then 1 else 0 end as numbered,
+  select village, i as plot_id, g.plot_no, coalesce(n,0) as n_labels_in_polygon, alt as alt_labels, case when g.plot_no is not null then 1 else 0 end as numbered,
    case when n>1 then 1 else 0 end as review_needed, case when g.plot_no is not null then 'glyph_outline' else 'none' end as label_source from lattice_fx left join g on g.plot_id=i""")
 def _resolve(fx):
     p = _plots(fx)
     a = sp.label_to_polygon(fx.label_points_fx, p, "village", 32.0)
-    return sp.resolve_labels(p.select("plot_id", "rings"), a, "sketch").drop("rings")
+    return sp.resolve_labels(p.select("village", "plot_id", "rings"), a, "sketch").drop("rings")
 
 
 _SAMP = """samp as materialized (select i, village, survey, poly_id, seq as edge_no, k, x+(nx-x)*(k+0.5::double)/n as x, y+(ny-y)*(k+0.5::double)/n as y, atan2(ny-y,nx-x) as bearing

@@ -55,16 +55,16 @@ def _inserts(fx):
     return got.join(above, ["village", "plot_id"]).filter("seq = 0").select("village", "survey", "plot_id", "seq", "x", "y")
 
 
-_OV = """(select l_suppkey as a, 100+l_partkey%100 as b, max(l_quantity)/8 as overlap_sqm, min(l_extendedprice)/1000 as area_a, min(l_orderkey%50)+0.5 as area_b, l_suppkey%3>0 as ma, l_partkey%100%4>0 as mb, l_suppkey%7=0 as ra, l_partkey%100%5=0 as rb,
-   l_suppkey%9 as ka, l_partkey%100%9 as kb from lineitem group by l_suppkey, l_partkey%100)"""
-_PLAN = f"""(select a, b, overlap_sqm, case when ay then a else b end as yields, case when ay then b else a end as keeps, case when not (case when ay then ma else mb end) then 'report only'
+_OV = """(select cast(l_linenumber as varchar) as village, l_suppkey as a, 100+l_partkey%100 as b, max(l_quantity)/8 as overlap_sqm, min(l_extendedprice)/1000 as area_a, min(l_orderkey%50)+0.5 as area_b, l_suppkey%3>0 as ma, l_partkey%100%4>0 as mb, l_suppkey%7=0 as ra, l_partkey%100%5=0 as rb,
+   l_suppkey%9 as ka, l_partkey%100%9 as kb from lineitem group by l_linenumber, l_suppkey, l_partkey%100)"""
+_PLAN = f"""(select village, a, b, overlap_sqm, case when ay then a else b end as yields, case when ay then b else a end as keeps, case when not (case when ay then ma else mb end) then 'report only'
     when overlap_sqm>0.25*(case when ay then area_a else area_b end) then 'refused' else 'clip' end as action, ra<>rb as rail_conflict
   from (select *, case when ra<>rb then rb when ma and mb then ka>kb else ma end as ay from {_OV} o where overlap_sqm>0.02 and (ma or mb)) q)"""
 
 
 def _plan(fx):
     s, p = F.col("l_suppkey"), F.col("l_partkey") % 100
-    g = fx.lineitem.groupBy(s.alias("a"), (p + 100).alias("b")).agg((F.max("l_quantity") / 8).alias("overlap_sqm"), (F.min("l_extendedprice") / 1000).alias("area_a"),
+    g = fx.lineitem.groupBy(F.col("l_linenumber").cast("string").alias("village"), s.alias("a"), (p + 100).alias("b")).agg((F.max("l_quantity") / 8).alias("overlap_sqm"), (F.min("l_extendedprice") / 1000).alias("area_a"),
                                                                    (F.min(F.col("l_orderkey") % 50) + 0.5).alias("area_b"))
     a, b = F.col("a"), F.col("b") - 100
     return tp.yield_plan(g.withColumns({"movable_a": a % 3 > 0, "movable_b": b % 4 > 0, "rail_a": a % 7 == 0, "rail_b": b % 5 == 0, "rank_a": a % 9, "rank_b": b % 9}))
@@ -73,7 +73,7 @@ def _plan(fx):
 query("yield_plan", f"select * from {_PLAN} p")(_plan)
 
 
-@query("conflict_table", f"select a as survey_a, b as survey_b, round(overlap_sqm,2) as overlap_sqm, '{tp.CONFLICT_NOTE}' as note from {_PLAN} p where rail_conflict")
+@query("conflict_table", f"select village, a as survey_a, b as survey_b, round(overlap_sqm,2) as overlap_sqm, '{tp.CONFLICT_NOTE}' as note from {_PLAN} p where rail_conflict")
 def _conflicts(fx):
     return tp.conflict_table(_plan(fx))
 
