@@ -87,9 +87,13 @@ def _library(fx):
     return lib.select("ch", "ar", F.size(F.filter("bits", lambda b: b == 1)).alias("ones"))
 
 
-@query("file_inventory")
+@query("file_inventory", """select concat('village=', village) as village, cast(sum(strlen(concat(survey, ',', poly_id, ',', coalesce(plot_no, '')))+1) as bigint) as bytes
+  from lattice_fx group by 1""")
 def _inventory(fx):
-    return readers.file_inventory(fx.spark, fx.sf_dir, "*.parquet").select("village", "unit", "length")
+    out = work_path(fx.spark, "inventory")      # a folder of files for each village
+    line = F.concat("survey", F.lit(","), F.col("poly_id").cast("string"), F.lit(","), F.coalesce("plot_no", F.lit("")))
+    fx.lattice_fx.select("village", line.alias("value")).repartition("village").write.partitionBy("village").text(out)
+    return readers.file_inventory(fx.spark, out, "*.txt", 0).groupBy("village").agg(F.sum("length").alias("bytes"))
 
 
 @query("sink_sorted_table", "select village, survey, poly_id, plot_no from lattice_fx")
