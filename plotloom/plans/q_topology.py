@@ -42,7 +42,8 @@ def _conform(fx):
     return c.select("village", "plot_id", r(F.abs(geo.ring_area(F.col("ring"))), 4).alias("area"), "note", F.size("ring").alias("n_vertices"))
 
 
-@query("conform_inserts", """select village, cast(i as varchar) as survey, i as plot_id, 0 as seq, (x1+x2)/2 as x, (y1+y2)/2+0.25 as y from lattice_fx where r%10>0""")
+@query("conform_inserts", """select village, cast(i as varchar) as survey, i as plot_id, 0 as seq, (x1+x2)/2 as x, (y1+y2)/2+0.25 as y from lattice_fx where r%10>0
+  union all select village, cast(i as varchar), i, 2, (x3+x4)/2, (y3+y4)/2+0.25 from lattice_fx where (r+1)%10>0""")
 def _inserts(fx):
     # every settled plot below carries an extra vertex a quarter metre beside the middle of its top edge
     l = fx.lattice_fx
@@ -51,8 +52,7 @@ def _inserts(fx):
     mid = geo.pt((F.col("x4") + F.col("x3")) / 2, (F.col("y4") + F.col("y3")) / 2 + 0.25)
     settled = l.filter("(r + 1) % 10 > 0").select("village", F.concat(F.lit("s"), "i").alias("survey"), F.array(p[0], p[1], p[2], mid, p[3]).alias("ring"), F.lit(False).alias("is_anchor"))
     got = tp.conform_inserts(moved, settled)
-    above = l.select("village", F.col("i").alias("plot_id"), "r")
-    return got.join(above, ["village", "plot_id"]).filter("seq = 0").select("village", "survey", "plot_id", "seq", "x", "y")
+    return got.select("village", "survey", "plot_id", "seq", "x", "y")
 
 
 _OV = """(select cast(l_linenumber as varchar) as village, l_suppkey as a, 100+l_partkey%100 as b, max(l_quantity)/8 as overlap_sqm, min(l_extendedprice)/1000 as area_a, min(l_orderkey%50)+0.5 as area_b, l_suppkey%3>0 as ma, l_partkey%100%4>0 as mb, l_suppkey%7=0 as ra, l_partkey%100%5=0 as rb,
