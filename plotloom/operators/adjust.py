@@ -17,8 +17,6 @@ F_SCALE = 1.5
 SIGMA_START, SIGMA_START_DEG = 10.0, 10.0
 STEP = "village string, survey string, d_theta double, d_tx double, d_ty double"
 SIGMAS = "village string, survey string, sigma_head_deg double, sigma_pos_m double"
-#: Surveys whose sigmas one task works out.
-SIGMA_SLICE = 32
 #: Rounds after which a village that still moves is an error, not a result.
 GIVE_UP = 500
 OBS = ("village", "kind", "a", "pax", "pay", "b", "q1x", "q1y", "q2x", "q2y", "sigma")
@@ -151,9 +149,7 @@ def block_adjust(free: DataFrame, fixed: DataFrame, obs: DataFrame | None, prior
         poses = cut_lineage(j.select("village", "survey", *[(F.col(c) + F.coalesce(f"d_{c}", F.lit(0.0))).alias(c) for c in ("theta", "tx", "ty")], "free", "_ox", "_oy",
                                      (F.col("free") & F.coalesce("_more", F.lit(False))).alias("live")))
     blocks = cut_lineage(_blocks(residuals(poses)))
-    parts = poses.filter("free").groupBy("village").agg(F.ceil(F.count("*") / SIGMA_SLICE).cast("int").alias("slices"))
-    spread = blocks.join(parts, "village").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    sigmas = spread.groupBy("village", "slice").applyInPandas(kernels.village_sigmas, SIGMAS)
+    sigmas = blocks.groupBy("village").applyInPandas(kernels.village_sigmas, SIGMAS)
     poses = poses.join(sigmas, ["village", "survey"], "left")
     th = F.degrees("theta")
     began = free.select("village", "survey", F.col("theta").alias("th0"), F.col("tx").alias("tx0"), F.col("ty").alias("ty0"))
