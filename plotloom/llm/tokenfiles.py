@@ -58,9 +58,9 @@ class Capacities:
 
 def best_fit(lengths: list[int], row: int = ROW) -> list[list[int]]:
     """Pieces (by number) of each row, none longer than ``row``; longest first, into the row they fill best."""
-    rows: list[list[int]] = []
+    rows = [[i] for i, n in enumerate(lengths) if n == row]     # full rows leave no room to search
     room = Capacities(row)
-    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+    for i in sorted((i for i, n in enumerate(lengths) if n < row), key=lambda i: (-lengths[i], i)):
         got = room.take(lengths[i])
         left, at = got if got else (row, len(rows))
         if not got:
