@@ -22,7 +22,7 @@ from plotloom.llm.quality import LOWER, UPPER
 
 #: About so many labelled rows of either class are drawn (by a hash of doc_id) for the counts, and as many to fit the scale.
 MAX_DOCS = {1: 5_000, 0: 10_000}
-#: The model holds the most frequent words and bigrams up to these numbers, whatever the sample's texts hold.
+#: The model holds the most telling words and bigrams (log ratio times count) up to these numbers, whatever the sample's texts hold.
 MAX_WORDS, MAX_BIGRAMS = 250_000, 250_000
 #: Bigrams whose ratio is as near as this to their word's are left to the word.
 NEAR = 0.25
@@ -96,20 +96,26 @@ def _ratio(top, low):
     return F.log(top / low)
 
 
+def _level(llr):
+    """Levels of |llr| times the count n, in steps of a few percent."""
+    return F.floor(16 * F.log2(F.abs(llr) * F.col("n") + 1e-9)).cast("int").alias("level")
+
+
 def tables(bigrams: DataFrame) -> tuple[DataFrame, DataFrame, float]:
-    """(word, n, llr) for words after two distinct words or more, (prev, word, n, llr) for bigrams seen twice or more, and the
-    ratio of any other word."""
-    each = bigrams.groupBy("word").agg(F.count_if(F.expr("ct > 0")).alias("nt"), F.count_if(F.expr("co > 0")).alias("no"), F.count("*").alias("ns"))
+    """(word, level, llr) for words seen twice or more, (prev, word, level, llr) for bigrams seen twice or more, and the ratio of
+    any other word. The level is that of what the row tells: its log ratio (of bigrams, beyond their word's) times its count."""
+    each = bigrams.groupBy("word").agg(F.count_if(F.expr("ct > 0")).alias("nt"), F.count_if(F.expr("co > 0")).alias("no"), F.count("*").alias("ns"), F.sum(F.expr("ct + co")).alias("n"))
     each = saved(each, "words")
     s = each.agg(F.sum("nt").alias("nt"), F.sum("no").alias("no"), F.sum("ns").alias("ns"), F.count_if(F.expr("nt > 0")).alias("tt"), F.count_if(F.expr("no > 0")).alias("to"),
                  F.count("*").alias("v")).first()
     if not s.nt or not s.no:
-        empty = each.select("word", "ns", F.lit(0.0).alias("llr"), F.lit(1.0).alias("pt"), F.lit(1.0).alias("po")).limit(0)
-        return empty, bigrams.select("prev", "word", F.col("ct").alias("n"), F.lit(0.0).alias("llr")).limit(0), 0.0
+        empty = each.select("word", F.lit(0).alias("level"), F.lit(0.0).alias("llr"), F.lit(1.0).alias("pt"), F.lit(1.0).alias("po")).limit(0)
+        return empty, bigrams.select("prev", "word", F.lit(0).alias("level"), F.lit(0.0).alias("llr")).limit(0), 0.0
     lam = {"nt": DISCOUNT * s.tt / s.nt, "no": DISCOUNT * s["to"] / s.no}
     shared = (F.col("ns") + PRIOR_WORD) / (s.ns + PRIOR_WORD * s.v)
     p = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / getattr(s, c) + lam[c] * shared for c in ("nt", "no")}
-    words = each.filter("ns > 1").select("word", "ns", p["nt"].alias("pt"), p["no"].alias("po")).withColumn("llr", _ratio(F.col("pt"), F.col("po")))
+    words = each.filter("n > 1").select("word", "n", p["nt"].alias("pt"), p["no"].alias("po")).withColumn("llr", _ratio(F.col("pt"), F.col("po")))
+    words = words.select("word", _level(F.col("llr")), "llr", "pt", "po")
     # a discount of one leaves bigrams seen once to the backoff
     often = bigrams.withColumn("n", F.col("ct") + F.col("co"))
     before = often.groupBy("prev").agg(F.sum("n").alias("all"), F.sum(F.col("n") - 1).alias("left"), F.sum(F.expr("ct * (n - 1) / n")).alias("lt"),
@@ -125,7 +131,7 @@ def tables(bigrams: DataFrame) -> tuple[DataFrame, DataFrame, float]:
     mixed = _ratio(own * both * q["ct"] + (1 - own) * F.col("pt"), own * both * q["co"] + (1 - own) * F.col("po"))
     llr = F.when(known, mixed).otherwise(_ratio(F.col("pt"), F.col("po")))
     told = pairs.select("prev", "word", "n", llr.alias("llr"), _ratio(F.col("pt"), F.col("po")).alias("alone")).filter(F.abs(F.col("llr") - F.col("alone")) > NEAR)
-    return words, told.drop("alone"), float(np.log(lam["nt"] / lam["no"]))
+    return words, told.select("prev", "word", _level(F.col("llr") - F.col("alone")), "llr"), float(np.log(lam["nt"] / lam["no"]))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -179,9 +185,9 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
     sample = labelled(docs, labels)
     bigrams = saved(counted(sample.filter(F.col("fold") != SCALE)), "bigrams")
     words, pairs, other = tables(bigrams)
-    ws = _frequent(words, "ns", MAX_WORDS).select("word", "llr").toArrow()
+    ws = _frequent(words, "level", MAX_WORDS).select("word", "llr").toArrow()
     vocab = {b"": 1} | {w: i + 2 for i, w in enumerate(ws["word"].cast(pa.binary()).to_pylist())}
-    ps = _frequent(pairs, "n", MAX_BIGRAMS).select("prev", "word", "llr").toArrow()
+    ps = _frequent(pairs, "level", MAX_BIGRAMS).select("prev", "word", "llr").toArrow()
     of = lambda c: [vocab.get(w, -1) for w in ps[c].cast(pa.binary()).to_pylist()]
     ps = [p for p in zip(of("prev"), of("word"), ps["llr"].to_pylist(), strict=True) if min(p[:2]) >= 0]
     keys = np.array([a * (len(vocab) + 1) + b for a, b, _ in ps], np.int64)

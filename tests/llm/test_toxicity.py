@@ -91,3 +91,18 @@ def test_empty_tables_and_one_class(data):
     assert tx.scored(dd.limit(0), ll).count() == 0
     assert {r.predicted for r in tx.scored(dd, ll.limit(0)).collect()} == {0}
     assert {r.predicted for r in tx.scored(dd, ll.filter("toxic = 0")).collect()} == {0}
+
+
+def test_a_phrase_of_its_own_words_tells(data, spark):
+    docs, labels, *_ = data
+    phrase = [(i, t + (" grot mulk zerp" if y else ""), *rest) for (i, t, *rest), (_, _, y, _) in zip(docs, labels, strict=False)]
+    model = tx.learned(spark.createDataFrame(phrase, DOCS), spark.createDataFrame(labels, LABELS))
+    assert {b"mulk", b"zerp"} <= set(model.vocab)     # each after one word only
+    alone = model.word[[model.vocab[b"mulk"], model.vocab[b"zerp"]]]
+    assert min(alone) > model.word[0] and min(alone) > 0 and min(model.ratios(b"grot mulk zerp")) > 0
+
+
+def test_a_bounded_model_keeps_what_tells(data, monkeypatch):
+    _, _, dd, ll = data
+    monkeypatch.setattr(tx, "MAX_WORDS", 40)
+    assert {w.encode() for w in BAD} <= set(tx.learned(dd, ll).vocab)
