@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from plotloom.llm.common import as_rows
 from plotloom.llm.pages import LABELLED, OFF, ON
 
-_RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|select|button|object|canvas|audio|video|head"
+_RAW = "script|style|textarea|title"
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(" + _RAW + r""")\b(?>"[^"]*"|'[^']*'|[^'">])*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>"[^"]*"|'[^']*'|[^'">])*+)>"""
                    r"|<[a-zA-Z/!?][^>]*(?:>|\Z)|([^<]+|<)", re.S | re.I)
 ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -30,6 +30,10 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img
 ENDS = {t: {"p"} for t in "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()}
 ENDS |= {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 STOPS = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
+#: Elements whose text is left out.
+DARK = set("noscript template iframe svg math select button object canvas audio video head".split())
+#: What may stand in a head; anything else begins the body.
+IN_HEAD = set("base basefont bgsound link meta noscript template script style title".split())
 _OFF, _ON = ({*names, *(n + "s" for n in names)} for names in (OFF, ON))
 TEXT = set("p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd td th figcaption".split())
 
@@ -44,6 +48,19 @@ class Page:
 
     def _read(self, html: str) -> None:
         stack, links, part = [("#root", 0)], 0, []
+        # where on the stack an element begins whose text is left out, and whether it lacks its end tag and so ends at the next block
+        dark, loose, ends = 0, False, {}
+
+        def closed(name: str, at: int) -> bool:
+            """Whether the start tag at ``at`` has an end tag; each end tag goes with the last start tag that has none yet."""
+            if name not in ends:
+                ends[name], begun = set(), []
+                for m in re.finditer(f"<(/?){name}(?=[\\s/>])", html, re.I):
+                    if not m[1]:
+                        begun.append(m.start())
+                    elif begun:
+                        ends[name].add(begun.pop())
+            return at in ends[name]
 
         def flush() -> None:
             if part:
@@ -54,14 +71,21 @@ class Page:
                 part.clear()
 
         def close(upto: int) -> None:
-            nonlocal links
-            if any(t not in INLINE for t, _ in stack[upto:]):
+            nonlocal links, dark
+            seen = stack[upto:dark or None]
+            if any(t not in INLINE for t, _ in seen):
                 flush()
-            links -= sum(t == "a" for t, _ in stack[upto:])
+            links -= sum(t == "a" for t, _ in seen)
             del stack[upto:]
+            if len(stack) <= dark:
+                dark = 0
 
         for m in TOKEN.finditer(html):
             if (text := m[5]) is not None:
+                if dark and stack[-1][0] == "head" and not text.isspace():
+                    close(dark)
+                if dark:
+                    continue
                 part.append(text)
                 if links:
                     self.linked[stack[-1][1]] += len(text)
@@ -75,6 +99,14 @@ class Page:
                         close(at)
                         break
                 continue
+            if dark and (tag not in IN_HEAD if stack[dark][0] == "head" and len(stack) == dark + 1 else tag == "body" or loose and tag in ENDS):
+                close(dark)
+            if dark or tag in DARK:
+                if tag not in VOID and not (tag in ("svg", "math") and m[4].endswith("/")):
+                    if not dark:
+                        dark, loose = len(stack), tag != "head" and not closed(tag, m.start())
+                    stack.append((tag, stack[-1][1]))
+                continue
             if tag == "br":
                 part.append(" ")
                 continue

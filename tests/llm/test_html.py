@@ -70,6 +70,20 @@ def test_odd_markup():
     assert len(text(art(f"<p>{A} {B}</p>" * 5000)).split("\n\n")) == 5000
 
 
+def test_missing_end_tags_leave_the_text():
+    body = f"<article><h1>Head</h1><p>{A}</p><p>{B}</p></article>"
+    want = f"Head\n\n{A}\n\n{B}"
+    for head in ("<head><title>t</title><meta charset=x>", "<html><head><script>x</script><link rel=y><body>", "<head><title>t</title></head><body>",
+                 "<head><noscript><style>p{}</style></noscript><title>t</title>"):
+        assert text(head + body) == want
+    art = lambda x: f"<body><article><p>{A}</p>{x}<p>{B}</p></article><footer><button>More</button><object>o</object></footer></body>"
+    for x in ("<svg/>", "<svg viewBox='0 0 1 1' />", "<math/>", "<button>Share", "<object data=x>", "<select><option>one", "<video src=v>", "<canvas id=c>",
+              "<button>Share</button>", "<svg><g><path d='M0'/><text>no</text></g></svg>", "<object><p>no</p></object>", "<video><p>no</p></video>",
+              "<svg><svg>no</svg>no</svg>", "<select><option>one<option>two</select>", "<iframe src=x></iframe>", "<template><div><p>no</p></div></template>"):
+        assert text(art(x)) == f"{A}\n\n{B}", x
+    assert text(art(f"<p>{C} <svg><path/></svg>and <button>x</button>on</p>")) == f"{A}\n\n{C} and on\n\n{B}"
+
+
 def test_rows(spark):
     data = [(1, "u", None, "t", 1), (2, None, "", "t", 1), (3, "u", "just words " * 20, "t", 1), (None, "u", f"<article><p>{A}</p></article>", "t", 1)] + [(5, "u", f"<article><p>{B}</p></article>", "t", 1)] * 2
     got = sorted((str(r.page_id), r.text, r.n_chars) for r in H.extracted(spark.createDataFrame(data, SCHEMA)).collect())
