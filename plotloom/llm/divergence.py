@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,89 +58,105 @@ class Block:
         docs.update(distinct)
         self.postings += len(times) - before
 
-    def runs(self, shards: int) -> Iterator[tuple]:
-        """The block as pieces of runs (see RUN), sorted by term; the block is empty afterwards."""
-        langs: dict[str, dict[bytes, list]] = {}
+    def runs(self, shards: int) -> Iterator[pa.RecordBatch]:
+        """The block as pieces of runs (see RUN), by language and shard and sorted by term; the block is empty afterwards."""
+        by_lang: dict[str, list[tuple[str, Counter, Counter]]] = {}
         for (lang, source), (times, docs) in self.groups.items():
-            held = langs.setdefault(lang, {})
-            for term, n in times.items():
-                held.setdefault(term, []).append((source, n, docs[term]))
+            by_lang.setdefault(lang, []).append((source, times, docs))
         self.__init__()
-        for lang, held in langs.items():
-            salt, by_shard = zlib.crc32(lang.encode()), {}
-            for term in sorted(held):
-                by_shard.setdefault(zlib.crc32(term, salt) % shards, []).append(term)
-            for shard, terms in by_shard.items():
-                for k in range(0, len(terms), PIECE):
-                    part = terms[k:k + PIECE]
-                    sources, n, docs = zip(*(x for t in part for x in held[t]), strict=True)
-                    yield shard, lang, part[0], part, [len(held[t]) for t in part], sources, n, docs
-
-
-RUN = "shard int, lang string, first binary, terms array<binary>, sizes array<int>, sources array<string>, n array<long>, docs array<long>"
-_RUN_TYPES = [pa.int32(), pa.string(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        for lang, groups in by_lang.items():
+            number: dict[bytes, int] = {}
+            ids = np.fromiter((number.setdefault(t, len(number)) for _, times, _ in groups for t in times), np.int64)
+            if not len(ids):
+                continue
+            n = np.concatenate([np.fromiter(times.values(), np.int64, len(times)) for _, times, _ in groups])
+            docs = np.concatenate([np.fromiter(map(held.__getitem__, times), np.int64, len(times)) for _, times, held in groups])
+            source = np.repeat(np.arange(len(groups), dtype=np.int32), [len(times) for _, times, _ in groups])
+            salt = zlib.crc32(lang.encode())
+            order = sorted((zlib.crc32(t, salt) % shards, t, k) for t, k in number.items())
+            rank = np.empty(len(order), np.int64)
+            rank[[k for _, _, k in order]] = np.arange(len(order))
+            at = rank[ids]
+            by_term = np.argsort(at, kind="stable")
+            sizes, held = np.bincount(at), np.bincount(at, docs).astype(np.int64)
+            shard = np.array([x for x, _, _ in order], np.int32)
+            starts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+            cuts = np.unique(np.concatenate([starts, *(np.arange(a, b, PIECE) for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True))]))
+            ends = np.append(cuts, len(order)).astype(np.int32)
+            upto = np.append(0, np.cumsum(sizes))[ends].astype(np.int32)
+            terms = pa.array([t for _, t, _ in order], pa.binary())
+            parts = len(cuts)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(shard[cuts]), pa.array([lang] * parts, pa.string()), terms.take(pa.array(cuts)), pa.ListArray.from_arrays(ends, terms),
+                pa.ListArray.from_arrays(ends, pa.array(sizes.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(held)),
+                pa.array([[g[0] for g in groups]] * parts, pa.list_(pa.string())), pa.ListArray.from_arrays(upto, pa.array(source[by_term])),
+                pa.ListArray.from_arrays(upto, pa.array(n[by_term]))], _RUN_NAMES)
+
+
+#: A piece of a run: its terms in order, how many sources each has here, how many documents; then the sources' names, and by
+#: term and source a number of a name and a count.
+RUN = ("shard int, lang string, first binary, terms array<binary>, sizes array<int>, held array<long>, names array<string>, "
+       "sources array<int>, n array<long>")
 _RUN_NAMES = [f.split(" ")[0] for f in RUN.split(", ")]
 
 
 def spilled(rows: DataFrame, shards: int, most: int = BLOCK) -> DataFrame:
     """Runs of all blocks of ``rows`` (lang, source, text)."""
-    def table(runs: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*runs, strict=True), _RUN_TYPES, strict=True)], _RUN_NAMES)
-
-    def out(block: Block) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for run in block.runs(shards):
-            held.append(run)
-            size += len(run[5])
-            if size > 50_000:
-                yield table(held)
-                held, size = [], 0
-        if held:
-            yield table(held)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block()
         for batch in batches:
             for lang, source, text in zip(*[batch.column(c) for c in ("lang", "source", "text")], strict=True):
                 block.add(lang.as_py(), source.as_py(), text.as_py())
                 if block.postings >= most:
-                    yield from out(block)
-        yield from out(block)
+                    yield from block.runs(shards)
+        yield from block.runs(shards)
     return rows.select("lang", "source", "text").mapInArrow(run, RUN)
 
 
-def merged(pieces: Iterator[tuple]) -> Iterator[tuple[str, bytes, dict[str, list[int]]]]:
-    """(lang, term, {source: [n, docs]}) from pieces of runs that come in the order of (shard, lang, first).
+def pieces(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch of RUN as (shard, lang, terms, ends, held, names, sources, n); the last two stay arrays."""
+    def lists(name: str, plain: bool) -> list:
+        column = batch.column(name)
+        flat, ends = column.flatten(), np.append(0, np.cumsum(pa.compute.list_value_length(column).to_numpy()))
+        flat = flat.to_pylist() if plain else flat.to_numpy()
+        return [flat[a:b] for a, b in zip(ends, ends[1:])]
+    ends = [np.append(0, np.cumsum(x)).tolist() for x in lists("sizes", False)]
+    yield from zip(batch.column("shard").to_pylist(), batch.column("lang").to_pylist(), lists("terms", True), ends, lists("held", True),
+                   batch.column("names").to_pylist(), lists("sources", False), lists("n", False), strict=True)
+
 
-    The heap holds the piece of each run that is open now: a piece joins when its first term is next, and leaves when it is used up.
+def merged(runs: Iterator[tuple], least: int = 0) -> Iterator[tuple[str, bytes, dict[str, int]]]:
+    """(lang, term, {source: n}) of terms that ``least`` documents hold, from pieces that come in the order of (shard, lang, first term).
+
+    The heap holds the piece of each run that is open now: a piece joins when its first term is next, and leaves when it is used
+    up. Counts by source are only looked at for terms that enough documents hold.
     """
     heap, opened = [], 0
 
-    def head(piece: tuple, k: int, at: int, number: int) -> tuple:
-        return piece[0], piece[1], piece[3][k], number, k, at, piece
-
     def until(limit: tuple | None) -> Iterator[tuple]:
         while heap and (limit is None or heap[0][:3] < limit):
-            key, sums = heap[0][:3], {}
+            key, docs, found = heap[0][:3], 0, []
             while heap and heap[0][:3] == key:
-                _, _, _, number, k, at, piece = heap[0]
-                to = at + piece[4][k]
-                for source, n, docs in zip(piece[5][at:to], piece[6][at:to], piece[7][at:to], strict=True):
-                    old = sums.get(source)
-                    if old is None:
-                        sums[source] = [n, docs]
-                    else:
-                        old[0] += n
-                        old[1] += docs
-                if k + 1 < len(piece[3]):
-                    heapq.heapreplace(heap, head(piece, k + 1, to, number))
+                shard, lang, _, number, k, piece = heap[0]
+                docs += piece[4][k]
+                found.append((piece, k))
+                if k + 1 < len(piece[2]):
+                    heapq.heapreplace(heap, (shard, lang, piece[2][k + 1], number, k + 1, piece))
                 else:
                     heapq.heappop(heap)
-            yield key[1], key[2], sums
-    for piece in pieces:
-        yield from until((piece[0], piece[1], piece[2]))
+            if docs >= least:
+                sums: dict[str, int] = {}
+                for piece, k in found:
+                    a, b = piece[3][k], piece[3][k + 1]
+                    for source, n in zip(piece[6][a:b].tolist(), piece[7][a:b].tolist(), strict=True):
+                        name = piece[5][source]
+                        sums[name] = sums.get(name, 0) + n
+                yield key[1], key[2], sums
+    for piece in runs:
+        first = (piece[0], piece[1], piece[2][0])
+        yield from until(first)
         opened += 1
-        heapq.heappush(heap, head(piece, 0, 0, opened))
+        heapq.heappush(heap, (*first, opened, 0, piece))
     yield from until(None)
 
 
@@ -156,13 +173,12 @@ def frequencies(rows: DataFrame, least: int = LEAST_DOCS, most: int = BLOCK) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
-        for lang, term, sums in merged(tuple(v.as_py() for v in r) for b in batches for r in zip(*b.columns, strict=True)):
-            if sum(d for _, d in sums.values()) >= least:
-                kept.append((lang, term, list(sums), [n for n, _ in sums.values()]))
-                size += len(sums)
-                if size > 50_000:
-                    yield table(kept)
-                    kept, size = [], 0
+        for lang, term, sums in merged((p for b in batches for p in pieces(b)), least):
+            kept.append((lang, term, list(sums), list(sums.values())))
+            size += len(sums)
+            if size > 50_000:
+                yield table(kept)
+                kept, size = [], 0
         if kept:
             yield table(kept)
     return runs.mapInArrow(run, "lang string, term string, sources array<string>, counts array<long>")
@@ -184,33 +200,41 @@ def corrections(points: DataFrame) -> DataFrame:
 
         def added() -> tuple[np.ndarray, np.ndarray]:
             pairs, at = np.unique(np.concatenate(keys), return_inverse=True)
-            sums = np.zeros(len(pairs), np.int64)
-            np.add.at(sums, at, np.concatenate(values))
-            return pairs, sums
+            order = np.argsort(at, kind="stable")
+            return pairs, np.add.reduceat(np.concatenate(values)[order], np.searchsorted(at[order], np.arange(len(pairs))))
 
         def out(pairs: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
             names = list(number)
-            i, j = pairs >> 32, pairs & 0xFFFFFFFF
-            return pa.RecordBatch.from_arrays([pa.array([names[x][0] for x in i], pa.string()), pa.array([names[x][1] for x in i], pa.string()),
-                                               pa.array([names[x][1] for x in j], pa.string()), pa.array(sums)], ["lang", "s", "t", "more"])
+            told = [(names[x >> 32][0], *sorted((names[x >> 32][1], names[x & 0xFFFFFFFF][1]))) for x in pairs.tolist()]
+            columns = [pa.array(c, pa.string()) for c in zip(*told, strict=True)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(sums)], ["lang", "s", "t", "more"])
         for batch in batches:
-            for lang, listed in zip(batch.column("lang").to_pylist(), batch.column("points").to_pylist(), strict=True):
-                listed.sort(key=lambda x: x["source"])
-                ids = np.array([number.setdefault((lang, x["source"]), len(number)) for x in listed], np.int64)
-                p, a = (np.array([x[c] for x in listed], np.int64) for c in ("p", "absent"))
-                step = max(1, PAIRS // len(ids))
-                for k in range(0, len(ids), step):      # some rows of the triangle at a time
-                    i, j = np.nonzero(np.arange(k, min(k + step, len(ids)))[:, None] < np.arange(len(ids))[None, :])
-                    i += k
-                    keys.append(ids[i] << 32 | ids[j])
-                    values.append(abs(p[i] - p[j]) - abs(p[i] - a[j]) - abs(p[j] - a[i]) + abs(a[i] - a[j]))
-                    held += len(i)
-                    if held > PAIRS:
-                        pairs, sums = added()
-                        keys, values, held = [pairs], [sums], len(pairs)
-                        if held > PAIRS // 2:
-                            yield out(pairs, sums)
-                            keys, values, held = [], [], 0
+            points = batch.column("points")
+            sizes = pa.compute.list_value_length(points).to_numpy().astype(np.int64)
+            first = np.append(0, np.cumsum(sizes))[:-1]
+            flat = points.flatten()
+            langs, codes = batch.column("lang").dictionary_encode(), flat.field("source").dictionary_encode()
+            both = np.repeat(langs.indices.to_numpy().astype(np.int64), sizes) << 32 | codes.indices.to_numpy().astype(np.int64)
+            pairs, back = np.unique(both, return_inverse=True)
+            lang_names, source_names = langs.dictionary.to_pylist(), codes.dictionary.to_pylist()
+            known = np.array([number.setdefault((lang_names[x >> 32], source_names[x & 0xFFFFFFFF]), len(number)) for x in pairs.tolist()], np.int64)
+            ids, p, a = known[back], flat.field("p").to_numpy(), flat.field("absent").to_numpy()
+            for k in np.unique(sizes).tolist():     # terms with the same number of sources go together
+                rows = first[sizes == k]
+                for left in range(k - 1):
+                    step = max(1, PAIRS // (k - 1 - left))
+                    for m in range(0, len(rows), step):
+                        x = rows[m:m + step, None] + left
+                        y = x + np.arange(1, k - left)
+                        keys.append((np.minimum(ids[x], ids[y]) << 32 | np.maximum(ids[x], ids[y])).ravel())
+                        values.append((abs(p[x] - p[y]) - abs(p[x] - a[y]) - abs(p[y] - a[x]) + abs(a[x] - a[y])).ravel())
+                        held += len(keys[-1])
+                        if held > PAIRS:
+                            found, sums = added()
+                            keys, values, held = [found], [sums], len(found)
+                            if held > PAIRS // 2:
+                                yield out(found, sums)
+                                keys, values, held = [], [], 0
         if held:
             yield out(*added())
     made = points.select("lang", "points").filter(F.size("points") > 1).mapInArrow(run, "lang string, s string, t string, more long")

@@ -68,20 +68,24 @@ def test_pairs_added_up_early(spark, monkeypatch):
 
 
 def test_merge_adds_runs_in_order():
-    rng, pieces, want = random.Random(1), [], defaultdict(lambda: [0, 0])
+    rng, pieces, want = random.Random(1), [], defaultdict(int)
+    docs = Counter()
     block = D.Block()
     for i in range(400):
         lang, source = rng.choice("ab"), rng.choice("xyz")
         terms = rng.choices([f"t{chr(97 + k)}" for k in range(26)], k=9)
         block.add(lang, source, " ".join(terms))
+        docs.update((lang, t.encode()) for t in set(terms))
         for t, n in Counter(terms).items():
-            want[lang, t.encode(), source][0] += n
-            want[lang, t.encode(), source][1] += 1
+            want[lang, t.encode(), source] += n
         if block.postings > 30 or i == 399:
-            pieces += block.runs(3)
-    got = list(D.merged(iter(sorted(pieces, key=lambda p: p[:3]))))
-    assert len({(lang, t) for lang, t, _ in got}) == len(got)
-    assert {(lang, t, s): v for lang, t, sums in got for s, v in sums.items()} == dict(want)
+            pieces += [p for b in block.runs(3) for p in D.pieces(b)]
+    pieces.sort(key=lambda p: (p[0], p[1], p[2][0]))
+    for least in (0, 65):
+        got = list(D.merged(iter(pieces), least))
+        assert len({(lang, t) for lang, t, _ in got}) == len(got)
+        held = {k: n for k, n in want.items() if docs[k[:2]] >= least}
+        assert {(lang, t, s): n for lang, t, sums in got for s, n in sums.items()} == held
 
 
 def test_counts_beyond_64_bits_of_product(spark):
