@@ -1,7 +1,8 @@
 """Block adjustment: robust least squares over all observations of many villages at once.
 
 Per round the residuals and their derivatives are column expressions, the weighted normal equations are
-summed into one 3x3 block per survey pair, and only those blocks reach the per-village solve.
+summed into one 3x3 block per survey pair, and only those blocks reach the per-village solve, which goes level by level through a
+village (20 000 surveys take some 0.8 GB).
 """
 
 import math
@@ -108,7 +109,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 
 def block_adjust(free: DataFrame, fixed: DataFrame, obs: DataFrame | None, priors: DataFrame | None = None,
-                 tol: float = 1e-7) -> DataFrame:
+                 tol: float = 1e-7, sigmas: bool = True) -> DataFrame:
     """Adjusted pose of every free survey, its change and its sigmas; fixed surveys never move.
 
     ``free`` and ``fixed``: village, survey, theta (degrees), tx, ty. Without ``priors`` each start pose is
@@ -148,9 +149,11 @@ def block_adjust(free: DataFrame, fixed: DataFrame, obs: DataFrame | None, prior
         j = poses.join(step, ["village", "survey"], "left").join(big, "village", "left")
         poses = cut_lineage(j.select("village", "survey", *[(F.col(c) + F.coalesce(f"d_{c}", F.lit(0.0))).alias(c) for c in ("theta", "tx", "ty")], "free", "_ox", "_oy",
                                      (F.col("free") & F.coalesce("_more", F.lit(False))).alias("live")))
-    blocks = cut_lineage(_blocks(residuals(poses)))
-    sigmas = blocks.groupBy("village").applyInPandas(kernels.village_sigmas, SIGMAS)
-    poses = poses.join(sigmas, ["village", "survey"], "left")
+    if sigmas:
+        blocks = cut_lineage(_blocks(residuals(poses)))
+        poses = poses.join(blocks.groupBy("village").applyInPandas(kernels.village_sigmas, SIGMAS), ["village", "survey"], "left")
+    else:
+        poses = poses.withColumns({c: F.lit(None).cast("double") for c in ("sigma_head_deg", "sigma_pos_m")})
     th = F.degrees("theta")
     began = free.select("village", "survey", F.col("theta").alias("th0"), F.col("tx").alias("tx0"), F.col("ty").alias("ty0"))
     out = poses.filter("free").select("village", "survey", th.alias("theta"), (F.col("tx") + F.col("_ox")).alias("tx"), (F.col("ty") + F.col("_oy")).alias("ty"),

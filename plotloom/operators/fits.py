@@ -78,9 +78,9 @@ def pose_from_points(points: DataFrame, keys: list[str]) -> DataFrame:
             .join(similarity_fit(p, keys).select(*keys, "scale", "anisotropy"), keys))
 
 
-def truth_source(points_pose: DataFrame, geometry_pose: DataFrame, keys: list[str], limit: float = POSE_RMS_LIMIT) -> DataFrame:
+def truth_source(points_pose: DataFrame, geometry_pose: DataFrame, keys: list[str], limit: float = POSE_RMS_LIMIT,
+                 cols: tuple[str, ...] = ("theta", "tx", "ty", "rms")) -> DataFrame:
     """The points pose unless it is missing or too loose, else the geometry pose, and which one it was."""
-    cols = ("theta", "tx", "ty", "rms")
     a = points_pose.select(*keys, F.struct(*cols).alias("_p"))
     b = geometry_pose.select(*keys, F.struct(*cols).alias("_g"))
     good = F.coalesce(F.col("_p.rms") <= limit, F.lit(False))

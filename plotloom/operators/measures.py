@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plotloom.functions import geo, kernels
+from plotloom.functions import geo, rings
 
 
 def ring_vertices(plots: DataFrame, keys: list[str]) -> DataFrame:
@@ -111,10 +111,5 @@ def glyph_bitmap(glyphs: DataFrame, keys: list[str], outlines: str = "rings") ->
     return sized.select(*keys, bits.alias("bits"), (F.col("w") / F.col("h")).alias("ar"))
 
 
-_rectangle = F.pandas_udf(kernels.rectangle_sides, T.StructType(
-    [T.StructField("long_m", T.DoubleType()), T.StructField("short_m", T.DoubleType())]))
-
-
 def min_rotated_rectangle(plots: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame:
-    r = F.col(ring)
-    return plots.select(*keys, _rectangle(F.transform(r, lambda p: p["x"]), F.transform(r, lambda p: p["y"])).alias("m")).select(*keys, "m.*")
+    return plots.select(*keys, rings.smallest_rectangle(F.col(ring)).alias("m")).select(*keys, "m.*")

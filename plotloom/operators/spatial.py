@@ -4,9 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plotloom.functions import geo, kernels
+from plotloom.functions import geo, kernels, rings
 from plotloom.functions import text as tx
 from plotloom.operators import cells, measures
+from plotloom.session import spread
 
 MATCH_DIST, MATCH_DEG = 1.5, 12.0
 LINE_REACH_M, LINE_STEP_M, LINE_DEG, SIGMA_LINE, MIN_EDGE_M = 8.0, 2.0, 15.0, 0.60, 1.0
@@ -15,29 +16,13 @@ MIN_OVERLAP_SQM = 0.02
 CORNER_TURN_MIN = 20.0
 STRIP_MIN_M = 50.0
 
-_gap = F.pandas_udf(kernels.ring_gap, T.DoubleType())
-_hausdorff = F.pandas_udf(kernels.ring_hausdorff, T.DoubleType())
-_p90 = F.pandas_udf(kernels.boundary_p90, T.DoubleType())
 _overlap = F.pandas_udf(kernels.overlap_area, T.DoubleType())
 
 
-_disagree = F.pandas_udf(kernels.disagreement, T.StructType(
-    [T.StructField(c, T.DoubleType()) for c in ("mean_m", "p95_m", "max_m", "corner_mean_m", "corner_max_m")]
-    + [T.StructField("corners_matched", T.IntegerType())]))
-
-
 def _xy(*rings) -> list[Column]:
     return [F.transform(r, f) for r in rings for f in (lambda p: p["x"], lambda p: p["y"])]
 
 
-def ring_gap(a, b) -> Column:
-    return _gap(*_xy(a, b))
-
-
-def hausdorff(a, b) -> Column:
-    return _hausdorff(*_xy(a, b))
-
-
 def overlap(a, b) -> Column:
     return _overlap(*_xy(a, b))
 
@@ -177,14 +162,14 @@ def close_pairs(bodies: DataFrame, keys: list[str], reach: float, cell: float) -
     ``bodies``: keys, id, ring, minx..maxy. Only box neighbours reach the exact test.
     """
     pairs = cells.box_pairs(bodies, bodies, keys, cell, reach, lambda: F.col("id") < F.col("o_id"))
-    return pairs.withColumn("gap_m", ring_gap(F.col("ring"), F.col("o_ring"))).filter(F.col("gap_m") <= reach)
+    return rings.keep_if(spread(pairs, *keys, "id", "o_id"), "gap_m", rings.ring_gap(F.col("ring"), F.col("o_ring")), lambda v: v <= reach)
 
 
 def anchor_conflicts(bodies: DataFrame, keys: list[str], cell: float = 64.0) -> DataFrame:
     """Close pairs whose shared boundary disagrees by more than 0.30 m plus both fits' rms."""
     p = close_pairs(bodies, keys, CONFLICT_REACH_M, cell)
-    q = p.withColumn("p90_gap_m", _p90(*_xy(F.col("ring"), F.col("o_ring")))).withColumn("allowed_m", F.col("rms") + F.col("o_rms") + CONFLICT_LIMIT_M)
-    return q.filter(~F.isnan("p90_gap_m") & (F.col("p90_gap_m") > F.col("allowed_m")))
+    p = p.withColumn("allowed_m", F.col("rms") + F.col("o_rms") + CONFLICT_LIMIT_M)
+    return rings.keep_if(p, "p90_gap_m", rings.boundary_quantile(F.col("ring"), F.col("o_ring")), lambda v: v > F.col("allowed_m"))
 
 
 def overlap_ledger(bodies: DataFrame, keys: list[str], cell: float = 64.0) -> DataFrame:
@@ -198,7 +183,7 @@ def reading_disagreement(refs: DataFrame, keys: list[str]) -> DataFrame:
 
     ``refs``: ring (sheet at the fitted pose) and hand (as saved). All on the row, nothing is shuffled.
     """
-    return refs.select(*keys, _disagree(*_xy(F.col("ring"), F.col("hand"))).alias("m")).select(*keys, "m.*")
+    return refs.select(*keys, rings.disagreement(F.col("ring"), F.col("hand")).alias("m")).select(*keys, "m.*")
 
 
 def placement_errors(placed: DataFrame, refs: DataFrame, keys: list[str]) -> DataFrame:
@@ -210,7 +195,7 @@ def placement_errors(placed: DataFrame, refs: DataFrame, keys: list[str]) -> Dat
         return F.hypot(a["x"] - b["x"], a["y"] - b["y"])
     return j.select(*keys, F.round(apart(c, f), 3).alias("err_fmb_m"), F.round(apart(c, h), 3).alias("err_hand_m"),
                     F.round(geo.turn_gap(F.col("heading"), F.col("ref_theta")), 3).alias("heading_err_deg"),
-                    F.round(hausdorff(F.col("ring"), F.col("ring_fmb")), 3).alias("max_vertex_err_m"))
+                    F.round(rings.hausdorff(F.col("ring"), F.col("ring_fmb")), 3).alias("max_vertex_err_m"))
 
 
 def corner_gcps(outlines: DataFrame, poses: DataFrame, features: DataFrame, keys: list[str]) -> DataFrame:
@@ -244,7 +229,7 @@ def bodies_out_of_reach(pairs: DataFrame, bodies: DataFrame, reach: float) -> Da
     placed = (pairs.select(*key).distinct().join(who, key[:2], "left_semi")
               .join(who.withColumnRenamed("survey", "other"), ["village", "other"], "left_semi"))
     near = (placed.join(b, key[:2]).join(o, ["village", "other"]).filter(box_gap() <= reach)
-            .filter(ring_gap(F.col("ring"), F.col("o_ring")) <= reach).select(*key).distinct())
+            .filter(rings.ring_gap(F.col("ring"), F.col("o_ring")) <= reach).select(*key).distinct())
     return placed.join(near, key, "left_anti")
 
 

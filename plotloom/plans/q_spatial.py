@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plotloom.functions import geo
+from plotloom.functions import geo, rings
 from plotloom.operators import evaluation as ev  # noqa: F401
 from plotloom.operators import measures as ms
 from plotloom.operators import neighbours as nb
@@ -179,7 +179,7 @@ _PD = "sqrt(({0}.x-(e.x+greatest(0,least(1,(({0}.x-e.x)*(e.nx-e.x)+({0}.y-e.y)*(
   select i, round(max(d),5) as hausdorff_m from d group by 1""")
 def _haus(fx):
     t = _two(fx).join(fx.lattice_fx.select(*KEY, "i"), KEY)
-    return t.select("i", r(sp.hausdorff(F.col("ring"), F.col("hand")), 5).alias("hausdorff_m"))
+    return t.select("i", r(rings.hausdorff(F.col("ring"), F.col("hand")), 5).alias("hausdorff_m"))
 
 
 @query("reading_disagreement", f"""with {_TWO},

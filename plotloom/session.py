@@ -56,6 +56,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Deal rows that are small but dear to work on over all shuffle partitions; adaptive coalescing would put them into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for a working table."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
