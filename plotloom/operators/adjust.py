@@ -1,6 +1,6 @@
 """Block adjustment: robust least squares over all observations of many villages at once.
 
-Per round the residuals and their derivatives are column expressions, the weighted normal equations are
+Per round the observations meet the present poses in a join, tasks turn them into weighted normal equations, which are
 summed into one 3x3 block per survey pair, and only those blocks reach the per-village solve, which goes level by level through a
 village (20 000 surveys take some 0.8 GB).
 """
@@ -46,66 +46,32 @@ def observations(pair: DataFrame | None = None, line: DataFrame | None = None, g
     return out
 
 
-def _scalar_rows(obs: DataFrame, poses: DataFrame) -> DataFrame:
-    """One row per scalar residual: a, b, r and the derivatives to both poses (theta in radians)."""
+def _at_poses(obs: DataFrame, poses: DataFrame) -> DataFrame:
+    """Observations with the poses of both ends; one whose other end has no pose is left out."""
     def posed(side):
         return poses.select("village", F.col("survey").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in ("theta", "tx", "ty", "free")])
-    j = obs.join(posed("a"), ["village", "a"]).join(posed("b"), ["village", "b"], "left").filter("b is null or b_theta is not null")
-
-    def at(x, y, s):
-        th, tx, ty = (F.coalesce(F.col(f"{s}_{c}"), F.lit(0.0)) for c in ("theta", "tx", "ty"))
-        c, si = F.cos(th), F.sin(th)
-        lx, ly = c * F.col(x) - si * F.col(y), si * F.col(x) + c * F.col(y)
-        return lx + tx, ly + ty, lx, ly
-    px, py, plx, ply = at("pax", "pay", "a")
-    qx, qy, qlx, qly = at("q1x", "q1y", "b")
-    ex, ey, _, _ = at("q2x", "q2y", "b")
-    j = j.select("village", "kind", "a", "b", "sigma", "a_free", F.coalesce("b_free", F.lit(False)).alias("b_free"), *[v.alias(n) for v, n in (
-        (px, "px"), (py, "py"), (plx, "plx"), (ply, "ply"), (qx, "qx"), (qy, "qy"), (qlx, "qlx"), (qly, "qly"), (ex - qx, "dx"), (ey - qy, "dy"))])
-    c = F.col
-    inv = 1.0 / c("sigma")
-
-    def row(r, ja, jb):
-        return F.struct((r * inv).alias("r"), *[(v * inv).alias(f"ja{k}") for k, v in enumerate(ja)], *[(v * inv).alias(f"jb{k}") for k, v in enumerate(jb)])
-    one, zero = F.lit(1.0), F.lit(0.0)
-    point = F.array(row(c("px") - c("qx"), (-c("ply"), one, zero), (c("qly"), -one, zero)),
-                    row(c("py") - c("qy"), (c("plx"), zero, one), (-c("qlx"), zero, -one)))
-    n = F.hypot("dx", "dy")
-    nx, ny = F.try_divide(c("dy"), n), -F.try_divide(c("dx"), n)
-    wx, wy = c("px") - c("qx"), c("py") - c("qy")
-    line = F.array(row(F.coalesce(nx * wx + ny * wy, zero), (ny * c("plx") - nx * c("ply"), nx, ny),
-                       (-ny * wx + nx * wy - (ny * c("qlx") - nx * c("qly")), -nx, -ny)))
-    return j.select("village", "a", "b", "a_free", "b_free", F.explode(F.when(F.col("kind") == "point", point).otherwise(line)).alias("s")).select(
-        "village", "a", "b", "a_free", "b_free", "s.*")
-
-
-def _prior_rows(poses: DataFrame, priors: DataFrame) -> DataFrame:
-    p = poses.filter("free").join(priors.select("village", "survey", "p_theta", "p_tx", "p_ty", "sigma_pos", "sigma_head"), ["village", "survey"])
-    one, zero = F.lit(1.0), F.lit(0.0)
+    return obs.join(posed("a"), ["village", "a"]).join(posed("b"), ["village", "b"], "left").filter("b is null or b_theta is not null")
 
-    def row(r, s, k):
-        return F.struct((r / s).alias("r"), *[((one / s) if i == k else zero).alias(f"ja{i}") for i in range(3)], *[zero.alias(f"jb{i}") for i in range(3)])
-    turn = F.pmod(F.col("theta") - F.col("p_theta") + math.pi, F.lit(2 * math.pi)) - math.pi
-    rows = F.array(row(F.col("tx") - F.col("p_tx"), F.col("sigma_pos"), 1), row(F.col("ty") - F.col("p_ty"), F.col("sigma_pos"), 2),
-                   row(turn, F.radians("sigma_head"), 0))
-    return p.select("village", F.col("survey").alias("a"), F.lit(None).cast("string").alias("b"), F.lit(True).alias("a_free"), F.lit(False).alias("b_free"),
-                    F.explode(rows).alias("s")).select("village", "a", "b", "a_free", "b_free", "s.*")
 
+def _prior_blocks(poses: DataFrame, priors: DataFrame) -> DataFrame:
+    """What the priors add to each free survey's own block: three residuals, none of which touches the others."""
+    p = poses.filter("free").join(priors.select("village", "survey", "p_theta", "p_tx", "p_ty", "sigma_pos", "sigma_head"), ["village", "survey"])
+    turn = F.pmod(F.col("theta") - F.col("p_theta") + math.pi, F.lit(2 * math.pi)) - math.pi
+    sigma = [F.radians("sigma_head"), F.col("sigma_pos"), F.col("sigma_pos")]
+    p = p.select("village", F.col("survey").alias("i"), F.col("survey").alias("j"), *[s.alias(f"s{k}") for k, s in enumerate(sigma)],
+                 *[(v / s).alias(f"r{k}") for k, (v, s) in enumerate(zip((turn, F.col("tx") - F.col("p_tx"), F.col("ty") - F.col("p_ty")), sigma))])
+    w = [F.least(F.lit(1.0), F_SCALE / F.greatest(F.abs(f"r{k}"), F.lit(1e-300))) for k in range(3)]
+    m = [(w[a] / (F.col(f"s{a}") * F.col(f"s{a}")) if a == b else F.lit(0.0)).alias(f"m{a}{b}") for a in range(3) for b in range(3)]
+    return p.select("village", "i", "j", *m, *[(w[k] * F.col(f"r{k}") / F.col(f"s{k}")).alias(f"g{k}") for k in range(3)])
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Weighted normal blocks per (i, j) with i <= j in obs order, gradient on the diagonal blocks."""
-    w = F.least(F.lit(1.0), F_SCALE / F.greatest(F.abs("r"), F.lit(1e-300)))
-    x = rows.withColumn("w", w)
 
-    def block(i, j, p, q, on, grad):
-        m = [(F.col("w") * F.col(f"{p}{a}") * F.col(f"{q}{b}")).alias(f"m{a}{b}") for a in range(3) for b in range(3)]
-        g = [((F.col("w") * F.col("r") * F.col(f"{p}{a}")) if grad else F.lit(0.0)).alias(f"g{a}") for a in range(3)]
-        return F.when(on, F.struct(F.col(i).alias("i"), F.col(j).alias("j"), *m, *g))
-    parts = F.array(block("a", "a", "ja", "ja", F.col("a_free"), True), block("b", "b", "jb", "jb", F.col("b_free"), True),
-                    block("a", "b", "ja", "jb", F.col("a_free") & F.col("b_free"), False))
-    e = x.select("village", F.explode(F.filter(parts, lambda p: p.isNotNull())).alias("e")).select("village", "e.*")
-    sums = [F.sum(f"m{a}{b}").alias(f"m{a}{b}") for a in range(3) for b in range(3)] + [F.sum(f"g{a}").alias(f"g{a}") for a in range(3)]
-    return e.groupBy("village", "i", "j").agg(*sums)
+def _blocks(obs: DataFrame | None, poses: DataFrame, priors: DataFrame) -> DataFrame:
+    """Weighted normal blocks per (i, j), the gradient on the diagonal ones; tasks sum their batches before the shuffle."""
+    rows = _prior_blocks(poses, priors)
+    if obs is not None:
+        schema = "village string, i string, j string, " + ", ".join(f"{c} double" for c in kernels.BLOCK_VALUES)
+        rows = rows.unionByName(_at_poses(obs, poses).mapInPandas(kernels.normal_blocks(F_SCALE), schema))
+    return rows.groupBy("village", "i", "j").agg(*[F.sum(c).alias(c) for c in kernels.BLOCK_VALUES])
 
 
 def block_adjust(free: DataFrame, fixed: DataFrame, obs: DataFrame | None, priors: DataFrame | None = None,
@@ -133,9 +99,6 @@ def block_adjust(free: DataFrame, fixed: DataFrame, obs: DataFrame | None, prior
             F.when(grounded, F.col(c) - F.col("_ox" if c.endswith("x") else "_oy")).otherwise(F.col(c)).alias(c) if c in ("q1x", "q1y", "q2x", "q2y") else F.col(c)
             for c in OBS])
         obs = cut_lineage(obs)
-    def residuals(poses):
-        rows = _prior_rows(poses, pr)
-        return rows if obs is None else _scalar_rows(obs, poses).unionByName(rows)
     poses = start.withColumn("live", F.col("free"))
     for number in count():
         going = poses.filter("live").select("village").distinct()
@@ -143,14 +106,14 @@ def block_adjust(free: DataFrame, fixed: DataFrame, obs: DataFrame | None, prior
             break
         if number == GIVE_UP:
             raise RuntimeError(f"still moving after {GIVE_UP} rounds: {[r.village for r in going.limit(5).collect()]}")
-        rows = residuals(poses)
-        step = _blocks(rows.join(going, "village", "left_semi")).groupBy("village").applyInPandas(kernels.solve_village, STEP)
+        at = poses.join(going, "village", "left_semi")
+        step = _blocks(obs, at, pr).groupBy("village").applyInPandas(kernels.solve_village, STEP)
         big = step.groupBy("village").agg((F.max(F.greatest(F.abs(F.col("d_theta") * 100.0), F.abs("d_tx"), F.abs("d_ty"))) > tol).alias("_more"))
         j = poses.join(step, ["village", "survey"], "left").join(big, "village", "left")
         poses = cut_lineage(j.select("village", "survey", *[(F.col(c) + F.coalesce(f"d_{c}", F.lit(0.0))).alias(c) for c in ("theta", "tx", "ty")], "free", "_ox", "_oy",
                                      (F.col("free") & F.coalesce("_more", F.lit(False))).alias("live")))
     if sigmas:
-        blocks = cut_lineage(_blocks(residuals(poses)))
+        blocks = _blocks(obs, poses, pr)
         poses = poses.join(blocks.groupBy("village").applyInPandas(kernels.village_sigmas, SIGMAS), ["village", "survey"], "left")
     else:
         poses = poses.withColumns({c: F.lit(None).cast("double") for c in ("sigma_head_deg", "sigma_pos_m")})

@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -48,12 +49,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors, unlike cached or local copies."""
+    """Work done once that survives the loss of executors: a table in the shared folder, read back.
+
+    Unlike a checkpoint it has a known size, so small ones are broadcast by Spark's own check, and it carries no constraints over
+    from the plan it came from; in a loop those multiply from round to round. A column without a type can't be written as a table
+    and is checkpointed.
+    """
     spark = df.sparkSession
-    root = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+    if any(isinstance(f.dataType, T.NullType) for f in df.schema.fields):
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        return df.checkpoint(eager=True)
+    path = work_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *by: str) -> DataFrame:
