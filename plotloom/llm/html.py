@@ -8,6 +8,7 @@ gradient of their likelihood, whose expectations are those same marginals. Block
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -35,6 +36,8 @@ DARK = set("noscript template iframe svg math select button object canvas audio
 #: What may stand in a head; anything else begins the body.
 IN_HEAD = set("base basefont bgsound link meta noscript template script style title".split())
 _OFF, _ON = ({*names, *(n + "s" for n in names)} for names in (OFF, ON))
+#: Elements that hold no main text where a page names none as such.
+BOXES = set("nav header footer aside form menu dialog".split())
 TEXT = set("p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd td th figcaption".split())
 
 
@@ -50,6 +53,7 @@ class Page:
         stack, links, part = [("#root", 0)], 0, []
         # where on the stack an element begins whose text is left out, and whether it lacks its end tag and so ends at the next block
         dark, loose, ends = 0, False, {}
+        held = Counter()        # open elements by name, so that an end tag without a start tag costs nothing
 
         def closed(name: str, at: int) -> bool:
             """Whether the start tag at ``at`` has an end tag; each end tag goes with the last start tag that has none yet."""
@@ -76,6 +80,7 @@ class Page:
             if any(t not in INLINE for t, _ in seen):
                 flush()
             links -= sum(t == "a" for t, _ in seen)
+            held.subtract(t for t, _ in stack[upto:])
             del stack[upto:]
             if len(stack) <= dark:
                 dark = 0
@@ -94,7 +99,7 @@ class Page:
             if not tag:
                 continue
             if m[2]:
-                for at in range(len(stack) - 1, 0, -1):
+                for at in range(len(stack) - 1, 0, -1) if held[tag] else ():
                     if stack[at][0] == tag:
                         close(at)
                         break
@@ -106,6 +111,7 @@ class Page:
                     if not dark:
                         dark, loose = len(stack), tag != "head" and not closed(tag, m.start())
                     stack.append((tag, stack[-1][1]))
+                    held[tag] += 1
                 continue
             if tag == "br":
                 part.append(" ")
@@ -113,11 +119,14 @@ class Page:
             if tag in INLINE:
                 if tag not in VOID and not m[4].endswith("/"):
                     stack.append((tag, stack[-1][1]))
+                    held[tag] += 1
                     links += tag == "a"
                 continue
-            for at in range(len(stack) - 1, 0, -1):
+            for at in range(len(stack) - 1, 0, -1) if any(held[t] for t in ENDS.get(tag, ())) else ():
                 if stack[at][0] in ENDS.get(tag, ()):
                     close(at)
+                    if not any(held[t] for t in ENDS[tag]):
+                        break
                 elif stack[at][0] not in INLINE and (stack[at][0] in STOPS.get(tag, ()) or tag not in STOPS):
                     break
             flush()
@@ -131,8 +140,21 @@ class Page:
             self.own.append(0)
             self.linked.append(0)
             stack.append((tag, len(self.tag) - 1))
+            held[tag] += 1
         flush()
 
+    def boxes(self) -> list[bool]:
+        """Which nodes lie in an element that is by its name no content, or whose text is mostly links."""
+        n = len(self.tag)
+        size, linked = self.own[:], self.linked[:]
+        for i in range(n - 1, 0, -1):
+            size[self.parent[i]] += size[i]
+            linked[self.parent[i]] += linked[i]
+        out = [False] * n
+        for i in range(1, n):
+            out[i] = out[self.parent[i]] or self.tag[i] in BOXES or not self.names[i].isdisjoint(_OFF) or 2 * linked[i] > size[i]
+        return out
+
     def features(self) -> list[list[str]]:
         """Names of the features that hold at each node."""
         n = len(self.tag)
@@ -213,12 +235,20 @@ def trained(rounds: int = 250, rate: float = 0.6, ridge: float = 0.0003) -> tupl
 
 
 def main_text(html: str | None, weights: dict[str, float], pairs: list) -> str:
-    """Kept blocks joined by two line ends; '' for null and for pages without content."""
+    """Kept blocks joined by two line ends; '' for null and for pages without content.
+
+    Where no block is likelier content than not, as on pages that are paragraphs and nothing else, those outside of menus, notices
+    and the like are kept.
+    """
     if not html:
         return ""
     page = Page(html)
     belief, _ = marginals(page.parent, [sum(weights.get(f, 0.0) for f in x) for x in page.features()], page.kinds(), pairs)
-    return "\n\n".join(text for node, text in page.blocks if belief[node] > 0.5)
+    kept = [text for node, text in page.blocks if belief[node] > 0.5]
+    if not kept:
+        boxed = page.boxes()
+        kept = [text for node, text in page.blocks if not boxed[node]]
+    return "\n\n".join(kept)
 
 
 def extracted(pages: DataFrame) -> DataFrame:

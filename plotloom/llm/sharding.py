@@ -71,9 +71,9 @@ def sharded(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
 SQL = f"""
 with c as (select row_number() over () as rid, doc_id, ('0x' || substr(md5(coalesce(doc_id::varchar, '') || '|' || coalesce(text, '')), 1, {BITS // 4}))::bigint as h,
     coalesce(strlen(text), 0)::bigint as size from documents),
-at as (select c.*, d::integer as depth, h >> ({BITS} - d) as prefix from c, (select unnest(range(0, 41)) as d)),
-s as (select depth, prefix, sum(size) as bytes, min(h) as low, max(h) as high from at group by depth, prefix),
-f as (select at.*, bytes, row_number() over (partition by rid order by at.depth) as k from at join s using (depth, prefix) where bytes <= {LIMIT} or low = high),
+cells as (select c.*, d::integer as depth, h >> ({BITS} - d) as prefix from c, (select unnest(range(0, 41)) as d)),
+s as (select depth, prefix, sum(size) as bytes, min(h) as low, max(h) as high from cells group by depth, prefix),
+f as (select cells.*, bytes, row_number() over (partition by rid order by cells.depth) as k from cells join s using (depth, prefix) where bytes <= {LIMIT} or low = high),
 n as (select *, row_number() over (partition by h order by rid) - 1 as number from f where k = 1)
 select doc_id, depth, prefix, case when bytes <= {LIMIT} then 0 else number // greatest(1, {LIMIT} // greatest(size, 1)) end::bigint as part, size as bytes from n
 """

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 from html import unescape
 
 from plotloom.llm import html as H
@@ -89,3 +90,21 @@ def test_rows(spark):
     got = sorted((str(r.page_id), r.text, r.n_chars) for r in H.extracted(spark.createDataFrame(data, SCHEMA)).collect())
     assert ("1", "", 0) in got and ("2", "", 0) in got and ("None", A, len(A)) in got and got.count(("5", B, len(B))) == 2 and len(got) == 6
     assert H.extracted(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_pages_that_name_no_content_keep_their_paragraphs():
+    w, p = H.trained()
+    text = lambda h: H.main_text(h, w, p)
+    assert text("<body><p>One two three.</p><p>Four five.</p></body>") == "One two three.\n\nFour five."
+    assert text("just text") == "just text" and text("<div>plain words here</div>") == "plain words here"
+    assert text("<body><nav><a href=x>Home</a></nav><p>Hi there.</p><footer>Foot</footer></body>") == "Hi there."
+    assert text("<body>" + "<div>" * 5000 + "<p>deep</p>" + "</div>" * 5000) == "deep"
+    assert text("<body><nav><a>x</a></nav><footer>c</footer></body>") == ""
+
+
+def test_stray_and_missing_end_tags_take_linear_time():
+    w, p = H.trained()
+    begun = time.time()
+    for page in ("<body><p>x</p>" + "</p>" * 250_000, "<body>" + "<div>" * 20_000 + "</p>" * 20_000, "<body>" + "<b>" * 8000 + "<p>x" * 20_000):
+        H.main_text(page, w, p)
+    assert time.time() - begun < 20
