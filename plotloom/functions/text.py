@@ -13,8 +13,10 @@ CAUSES = (
     ("railway", "clipped by railway land"),
     ("backfilled", "backfilled row, features missing"),
 )
+# Fixed value: what stands where no keyword fits.
 NO_CAUSE = "see notes"
 UNNUMBERED = 1_000_000_000
+# Code -> name.
 TALUKS = {"04": "Chengalpattu", "05": "Tambaram", "15": "Vandalur"}
 
 
