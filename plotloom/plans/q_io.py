@@ -133,6 +133,6 @@ def _stream(fx):
 def _latest(fx):
     out, chk = work_path(fx.spark, "latest"), work_path(fx.spark, "latest-checkpoint")
     jobs.latest_per_key(fx.spark, fx.sf_dir, fx.events.schema, ["user_id"], "event_id", "props", "event_type <> 'purchase'", out, chk, "events.parquet")
-    return fx.spark.read.parquet(out)
+    return jobs.latest_rows(fx.spark, out, ["user_id"])
 
 
