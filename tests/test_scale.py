@@ -27,3 +27,14 @@ def test_tables_that_unfold_are_dealt_out(spark):
     fx = catalog.Inputs(spark, SF)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert fx.lattice_fx.rdd.getNumPartitions() == n and fx.supplier.rdd.getNumPartitions() == n
+
+
+def test_village_of_many_rows_passes_no_integer(spark, tmp_path):
+    rows = [(1_200_049, 3), (7_200_049, 5), (50, 1)]
+    spark.createDataFrame(rows, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    v = catalog.Inputs(spark, str(tmp_path)).village_fx
+    assert v.schema == catalog.Inputs(spark, SF).village_fx.schema
+    for row in v.collect():
+        for n, (c, r) in enumerate(((row.c, row.r), (row.c + 1, row.r), (row.c + 1, row.r + 1), (row.c, row.r + 1)), 1):
+            assert row[f"x{n}"] == 40 * c + ((7919 * c + 104729 * r + 31 * c * r) % 97 - 48) / 8
+            assert row[f"y{n}"] == 25 * r + ((6101 * c + 15485 * r + 53 * c * r) % 97 - 48) / 8
