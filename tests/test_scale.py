@@ -1,8 +1,12 @@
 """How plans deal with small files that unfold."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from plotloom.functions import geo
+from plotloom.operators import overlap
 from plotloom.plans import catalog
+from plotloom.plans.shapes import corner_ring
 from plotloom.session import measured_broadcasts
 
 SF = "/root/testdata/sf0.001"
@@ -38,3 +42,24 @@ def test_village_of_many_rows_passes_no_integer(spark, tmp_path):
         for n, (c, r) in enumerate(((row.c, row.r), (row.c + 1, row.r), (row.c + 1, row.r + 1), (row.c, row.r + 1)), 1):
             assert row[f"x{n}"] == 40 * c + ((7919 * c + 104729 * r + 31 * c * r) % 97 - 48) / 8
             assert row[f"y{n}"] == 25 * r + ((6101 * c + 15485 * r + 53 * c * r) % 97 - 48) / 8
+
+
+def test_filters_stay_behind_the_dealing(spark):
+    big = catalog.Inputs(spark, SF).village_fx.withColumn("area", geo.ring_area(corner_ring())).filter("area > 100")
+    plan = big._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" in plan and "lambda" not in plan[plan.index("Repartition"):]
+
+
+def test_shared_area_by_lines_is_not_unfolded_into_rows(spark):
+    def ring(*xy):
+        return [{"x": float(x), "y": float(y)} for x, y in xy]
+    u = ring((0, 0), (30, 0), (30, 20), (20, 20), (20, 10), (10, 10), (10, 20), (0, 20))        # a U, met twice by the upper lines
+    rows = [(1, u, ring((0, 0), (30, 0), (30, 20), (0, 20)), 500.0), (2, u, ring((5, 12), (25, 12), (25, 18)), 30.0), (3, u, ring((12, 11), (18, 11), (18, 19)), 0.0),
+            (4, ring((0, 0), (10, 0), (0, 10)), ring((0, 0), (10, 0), (10, 10), (0, 10)), 50.0), (5, u, ring((40, 0), (50, 0), (50, 9)), None)]
+    d = spark.createDataFrame(rows, "id int, ring array<struct<x:double,y:double>>, o_ring array<struct<x:double,y:double>>, want double")
+    d = d.withColumns(geo.box(F.col("ring")) | {f"o_{k}": v for k, v in geo.box(F.col("o_ring")).items()})
+    shared = overlap.shared_area(d, ["id"])
+    got = {r.id: r.sqm for r in shared.collect()}
+    assert set(got) == {1, 2, 3, 4}
+    assert all(got[i] == pytest.approx(want, abs=0.25) for i, _, _, want in rows[:4])
+    assert "explode" not in shared._jdf.queryExecution().optimizedPlan().toString()
