@@ -1,5 +1,7 @@
 """How plans deal with small files that unfold."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +65,14 @@ def test_shared_area_by_lines_is_not_unfolded_into_rows(spark):
     assert set(got) == {1, 2, 3, 4}
     assert all(got[i] == pytest.approx(want, abs=0.25) for i, _, _, want in rows[:4])
     assert "explode" not in shared._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_partitions_follow_the_rows(spark, tmp_path):
+    spark.range(20_001).selectExpr("id as p_partkey", "3 as p_size").write.parquet(f"{tmp_path}/part.parquet")
+    own = spark.newSession()
+    large = catalog.Inputs(own, str(tmp_path))
+    assert large.lattice_fx.rdd.getNumPartitions() == 5
+    counted = large.lattice_fx.groupBy("village").count()
+    assert re.search(r"hashpartitioning\(village#\d+, 5\)", counted._jdf.queryExecution().executedPlan().toString())
+    small = catalog.Inputs(own, SF)
+    assert small.lattice_fx.rdd.getNumPartitions() == int(own.conf.get("spark.sql.shuffle.partitions")) < 5
