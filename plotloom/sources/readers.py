@@ -16,11 +16,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p))
 
 
-def scan_sheets(spark: SparkSession, path: str, pattern: str = SHEET_PATH) -> DataFrame:
-    """Plots of feature collections, one row per feature; village and survey come from the path."""
-    docs = spark.read.schema(schemas.SHEET_COLLECTION).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+def scan_sheets(spark: SparkSession, path: str, pattern: str = SHEET_PATH, by_line: bool = False) -> DataFrame:
+    """Plots of feature collections, one row per feature; village and survey come from the path.
+
+    ``by_line``: many sheets a file, each on its line, as ``sink_sheets`` writes them; the survey comes from the collection's name.
+    """
+    docs = spark.read.schema(schemas.SHEET_COLLECTION).option("multiLine", not by_line).option("recursiveFileLookup", True).json(path)
     where = F.col("_metadata.file_path")
-    f = docs.select(F.regexp_extract(where, pattern, 1).alias("village"), F.regexp_extract(where, pattern, 2).alias("survey"), F.explode("features").alias("f"))
+    survey = F.regexp_extract("name", r"^(.*)_parcels$", 1) if by_line else F.regexp_extract(where, pattern, 2)
+    f = docs.select(F.regexp_extract(where, pattern, 1).alias("village"), survey.alias("survey"), F.explode("features").alias("f"))
     open_ring = F.transform("f.geometry.coordinates", lambda r: F.transform(F.slice(r, F.lit(1), F.size(r) - 1), lambda p: geo.pt(p[0], p[1])))
     return f.select("village", "survey", "f.properties.*", open_ring.alias("rings"))
 

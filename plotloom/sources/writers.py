@@ -23,10 +23,12 @@ def sink_features(plots: DataFrame, properties: list[str], path: str) -> None:
 
 
 def sink_sheets(plots: DataFrame, properties: list[str], path: str) -> None:
-    """One feature collection per sheet, in a folder of its own."""
+    """One feature collection per sheet, each on a line of its own; a folder per village. A file per sheet would be millions of them, each
+    listed and renamed by the driver."""
     doc = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.concat("survey", F.lit("_parcels")).alias("name"),
                              F.array_sort(F.collect_list(feature(properties))).alias("features")))
-    plots.groupBy("village", "survey").agg(doc.alias("value")).write.mode("overwrite").partitionBy("village", "survey").text(path)
+    sheets = plots.groupBy("village", "survey").agg(doc.alias("value")).select("village", "value")
+    sheets.repartition("village").write.mode("overwrite").partitionBy("village").text(path)
 
 
 def sink_sorted_table(rows: DataFrame, order: list[Column], path: str) -> None:

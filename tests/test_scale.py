@@ -1,5 +1,6 @@
 """How plans deal with small files that unfold."""
 
+import glob
 import re
 
 import pytest
@@ -8,8 +9,9 @@ from pyspark.sql import functions as F
 from plotloom.functions import geo
 from plotloom.operators import overlap
 from plotloom.plans import catalog
-from plotloom.plans.shapes import corner_ring
+from plotloom.plans.shapes import corner_ring, plots
 from plotloom.session import measured_broadcasts
+from plotloom.sources import readers, writers
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,3 +78,22 @@ def test_partitions_follow_the_rows(spark, tmp_path):
     assert re.search(r"hashpartitioning\(village#\d+, 5\)", counted._jdf.queryExecution().executedPlan().toString())
     small = catalog.Inputs(own, SF)
     assert small.lattice_fx.rdd.getNumPartitions() == int(own.conf.get("spark.sql.shuffle.partitions")) < 5
+
+
+def test_files_of_sheets_follow_the_villages(spark, tmp_path):
+    fx = catalog.Inputs(spark, SF)
+    p = plots(fx, True).withColumns({"survey_no": F.col("survey")})
+    writers.sink_sheets(p, ["poly_id", "survey_no", "plot_no"], f"{tmp_path}/sheets")
+    files = glob.glob(f"{tmp_path}/sheets/**/*.txt", recursive=True)
+    assert len(files) == p.select("village").distinct().count() < p.select("survey").distinct().count()
+    back = readers.scan_sheets(spark, f"{tmp_path}/sheets", r"village=([^/]+)/", by_line=True)
+    key = ["village", "survey", "poly_id", "plot_no", "rings"]
+    assert sorted(back.select(*key).collect(), key=str) == sorted(p.select(*key).collect(), key=str)
+
+
+def test_a_file_per_sheet_is_still_read(spark, tmp_path):
+    (tmp_path / "v 7").mkdir()
+    (tmp_path / "v 7" / "12A_parcels.geojson").write_text("""{"type": "FeatureCollection", "name": "else",
+      "features": [{"type": "Feature", "properties": {"poly_id": 3}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}}]}""")
+    (row,) = readers.scan_sheets(spark, str(tmp_path)).collect()
+    assert (row.survey, row.poly_id, len(row.rings[0])) == ("12A", 3, 3)
