@@ -1,13 +1,14 @@
 """How plans deal with small files that unfold."""
 
 import glob
+import math
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from plotloom.functions import geo
-from plotloom.operators import overlap
+from plotloom.operators import overlap, spatial
 from plotloom.plans import catalog
 from plotloom.plans.shapes import corner_ring, plots
 from plotloom.session import measured_broadcasts
@@ -97,3 +98,21 @@ def test_a_file_per_sheet_is_still_read(spark, tmp_path):
       "features": [{"type": "Feature", "properties": {"poly_id": 3}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}}]}""")
     (row,) = readers.scan_sheets(spark, str(tmp_path)).collect()
     assert (row.survey, row.poly_id, len(row.rings[0])) == ("12A", 3, 3)
+
+
+def test_readings_are_compared_on_arrow_batches(spark):
+    def ring(*xy):
+        return [{"x": float(x), "y": float(y)} for x, y in xy]
+    square, near = ring((0, 0), (10, 0), (10, 10), (0, 10)), ring((0, 1), (10, 1), (10, 11), (0, 11))
+    rows = [(1, square, square), (2, square, near), (3, ring((0, 0), (40, 0), (40, 0), (0, 3)), square), (4, None, square), (5, square, ring((3, 4), (3, 4)))]
+    d = spark.createDataFrame(rows, "id int, ring array<struct<x:double,y:double>>, hand array<struct<x:double,y:double>>")
+    out = spatial.reading_disagreement(d, ["id"])
+    assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: r for r in out.collect()}
+    assert tuple(got[1])[1:] == (0.0, 0.0, 0.0, 0.0, 0.0, 4)
+    # bottom: ten samples a metre below; top: a metre inside but for its ends; sides: half a metre below, then on the line
+    assert got[2].mean_m == pytest.approx((18 * 1.0 + 4 * 0.5) / 40) and got[2].max_m == 1.0 and got[2].corner_mean_m == 1.0 and got[2].corners_matched == 4
+    # forty samples on the bottom, ten of them on the square's; one on the edge of no length
+    assert got[3].max_m == pytest.approx(30.0) and got[3].corner_max_m == 10.0 and got[3].corners_matched == 2
+    assert got[4].mean_m is None and got[4].corners_matched is None
+    assert got[5].max_m == pytest.approx(math.hypot(7, 5.5)) and got[5].corner_max_m == pytest.approx(math.hypot(7, 6))
