@@ -53,6 +53,36 @@ def test_prune_dangles_takes_a_long_path_in_few_rounds(spark, monkeypatch):
     assert written <= 2 + 12        # the table it starts from, the marked edges, and the rounds between
 
 
+def ring_edges(sheet, first, n):
+    """Edges of a ring of n nodes, as ``walk_faces`` takes them."""
+    at = [(first + k, math.cos(2 * math.pi * k / n), math.sin(2 * math.pi * k / n)) for k in range(n)]
+    return [(sheet, p[0], q[0], *p[1:], *q[1:]) for p, q in zip(at, at[1:] + at[:1], strict=True)]
+
+
+def test_faces_are_numbered_while_they_are_labelled(spark, monkeypatch):
+    edges = [e for k in range(50) for e in ring_edges("short", 10 * k, 4)] + ring_edges("long", 10_000, 60)
+    for n in range(2, 8):
+        edges += ring_edges(f"ring{n}", 0, n) if n > 2 else [("ring2", 1, 2, 0.0, 0.0, 1.0, 0.0)]
+    sizes, real = [], planar.cut_lineage
+
+    def kept(df):
+        out = real(df)
+        sizes.append(out.count())
+        return out
+    monkeypatch.setattr(planar, "cut_lineage", kept)
+    faces = {}
+    for r in planar.walk_faces(spark.createDataFrame(edges, f"{EDGE}, ux double, uy double, vx double, vy double")).collect():
+        faces.setdefault((r.sheet, r.face), {})[r.back] = r.u
+    assert len(faces) == 2 * (50 + 1 + 5) + 1
+    for (sheet, _), ring in faces.items():
+        n = 60 if sheet == "long" else 4 if sheet == "short" else int(sheet[4:])
+        assert sorted(ring) == list(range(1 - n, 1))            # each step back from the first half-edge stands once
+        nodes = [ring[k] for k in sorted(ring)]
+        assert all((b - a) % n in (1, n - 1) for a, b in zip(nodes, nodes[1:], strict=False)) or n == 2 or sheet == "short"
+    assert len(sizes) <= 1 + 8                                  # the order, and a round for each doubling over the longest ring
+    assert sizes[-1] <= 120 < sizes[0]                          # short rings have left by then
+
+
 def test_prune_dangles_without_edges(spark):
     kept, gone = planar.prune_dangles(spark.createDataFrame([], EDGE))
     assert kept.count() == gone.count() == 0
