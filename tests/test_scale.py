@@ -4,11 +4,13 @@ import glob
 import math
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from plotloom.functions import geo
-from plotloom.operators import overlap, spatial
+from plotloom.functions import geo, kernels
+from plotloom.operators import matching, overlap, spatial
 from plotloom.plans import catalog
 from plotloom.plans.shapes import corner_ring, plots
 from plotloom.session import measured_broadcasts
@@ -116,3 +118,37 @@ def test_readings_are_compared_on_arrow_batches(spark):
     assert got[3].max_m == pytest.approx(30.0) and got[3].corner_max_m == 10.0 and got[3].corners_matched == 2
     assert got[4].mean_m is None and got[4].corners_matched is None
     assert got[5].max_m == pytest.approx(math.hypot(7, 5.5)) and got[5].corner_max_m == pytest.approx(math.hypot(7, 6))
+
+
+def test_runs_and_eroded_overlap_are_worked_out_on_the_row(spark):
+    kind = "array<struct<x:double,y:double>>"
+    box = [{"x": float(x), "y": float(y)} for x, y in ((0, 0), (40, 0), (40, 25), (0, 25))]
+    sheets = spark.createDataFrame([("v", "a", box), ("v", "b", box)], f"village string, survey string, ring {kind}")
+    runs = matching.shared_runs(sheets, spark.createDataFrame([("v", "a", "b")] * 2, "village string, survey string, other string"))
+    assert "aggregate(" not in runs._jdf.queryExecution().optimizedPlan().toString()
+    rows = runs.collect()
+    assert len({r.chain_key for r in rows}) == len(rows) and max(r.length_m for r in rows) == 130.0     # a pair named twice is one; all edges agree
+    g = spatial.with_box(sheets.withColumn("core", overlap.core_of(F.col("ring"))), F.col("ring"))
+    shares = overlap.overlapping(g, g, ["village", "survey", "o_survey"], lambda: F.col("survey") < F.col("o_survey"))
+    plan = shares._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 3 and "aggregate(" not in plan.replace("aggregate(zip_with", "")      # both cores and the pair, each once
+    assert [r.share for r in shares.collect()] == [pytest.approx(34 * 19 / 1000)]
+
+
+def test_starts_of_long_rings_lose_no_run(monkeypatch):
+    pick = np.random.default_rng(7)
+    lists = [[], [], [], []]
+    for n, m in ((4, 4), (30, 41), (60, 60), (0, 5), (25, 70)):
+        a, b = (np.cumsum(pick.choice([3.0, 5.0, 8.0], (k, 2)) * pick.choice([-1.0, 1.0], (k, 2)), 0) for k in (n, m))
+        b[:min(n, m) // 2] = a[:min(n, m) // 2][::-1] + 0.05 if n else b[:0]
+        for to, v in zip(lists, (*a.T, *b.T)):
+            to.append(v.tolist())
+    args = [pa.array(v, pa.list_(pa.float64())) for v in lists]
+    run = kernels.common_runs(8.0, 0.3, 0.01, 5.0, 10.0)
+    monkeypatch.setattr(kernels, "FEW_STARTS", 10 ** 9)
+    every = run(*args).to_pylist()
+    assert sum(map(len, every)) > 40 and every[3] == []
+    monkeypatch.setattr(kernels, "FEW_STARTS", 0)
+    assert run(*args).to_pylist() == every
+    monkeypatch.setattr(kernels, "MEETINGS", 50)
+    assert run(*args).to_pylist() == every
