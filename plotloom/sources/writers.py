@@ -18,8 +18,10 @@ def feature(properties: list[str], rings: str = "rings") -> Column:
 
 
 def sink_features(plots: DataFrame, properties: list[str], path: str) -> None:
-    """One GeoJSON feature per line, a folder per village."""
-    plots.select("village", F.to_json(feature(properties)).alias("value")).write.mode("overwrite").partitionBy("village").text(path)
+    """One GeoJSON feature per line, a folder per village. A village's lines are brought together first, else every task writes a file for
+    every village it meets; a large village may still come in several files."""
+    lines = plots.select("village", F.to_json(feature(properties)).alias("value")).hint("rebalance", "village")
+    lines.write.mode("overwrite").partitionBy("village").text(path)
 
 
 def sink_sheets(plots: DataFrame, properties: list[str], path: str) -> None:

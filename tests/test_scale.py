@@ -152,3 +152,12 @@ def test_starts_of_long_rings_lose_no_run(monkeypatch):
     assert run(*args).to_pylist() == every
     monkeypatch.setattr(kernels, "MEETINGS", 50)
     assert run(*args).to_pylist() == every
+
+
+def test_files_of_features_follow_the_villages(spark, tmp_path):
+    p = plots(catalog.Inputs(spark, SF), True).repartition(4, "poly_id")
+    writers.sink_features(p, ["survey", "poly_id", "plot_no"], f"{tmp_path}/features")
+    files = glob.glob(f"{tmp_path}/features/**/*.txt", recursive=True)
+    assert len(files) == p.select("village").distinct().count()
+    back = spark.read.text(f"{tmp_path}/features").select(F.get_json_object("value", "$.properties.survey").alias("s"), F.get_json_object("value", "$.properties.poly_id").cast("int").alias("p"))
+    assert sorted(back.collect()) == sorted(p.select("survey", "poly_id").collect())
