@@ -21,9 +21,11 @@ def direction_groups(items: DataFrame, keys: list[str], first: list[Column], wei
 
     The first item (by ``first``, smallest struct) without a group founds one and takes every free item within
     the tolerance, as a one-by-one greedy pass would. Founders differ by more than the tolerance, so there are
-    few rounds however many items a key has, and each round is a combinable aggregate.
+    few rounds however many items a key has, and each round is a combinable aggregate. Items of one bearing go together in any case:
+    they are one row from the start.
     """
-    left, out = cut_lineage(items.select(*keys, "bearing", weight, F.struct(*first).alias("_o"))), None
+    each = items.select(*keys, "bearing", weight, F.struct(*first).alias("_o"))
+    left, out = cut_lineage(each.groupBy(*keys, "bearing").agg(F.sum(weight).alias(weight), F.min("_o").alias("_o"))), None
     no = 0
     while not left.isEmpty():
         head = left.groupBy(*keys).agg(F.min_by("bearing", "_o").alias("_h"))

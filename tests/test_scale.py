@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from plotloom.functions import geo, kernels
-from plotloom.operators import matching, overlap, spatial
+from plotloom.operators import directions, matching, overlap, spatial
+from plotloom.operators import measures as ms
 from plotloom.plans import catalog
 from plotloom.plans.shapes import corner_ring, plots
 from plotloom.session import measured_broadcasts
@@ -161,3 +162,30 @@ def test_files_of_features_follow_the_villages(spark, tmp_path):
     assert len(files) == p.select("village").distinct().count()
     back = spark.read.text(f"{tmp_path}/features").select(F.get_json_object("value", "$.properties.survey").alias("s"), F.get_json_object("value", "$.properties.poly_id").cast("int").alias("p"))
     assert sorted(back.collect()) == sorted(p.select("survey", "poly_id").collect())
+
+
+def test_packed_outlines_meet_what_their_samples_meet(spark):
+    fx = catalog.Inputs(spark, SF)
+    p, poses = plots(fx), fx.near_poses_fx.select("village", "survey", "theta", "tx", "ty")
+    x, y = geo.rigid(F.col("lx"), F.col("ly"), F.col("theta"), F.col("tx"), F.col("ty"))
+    loose = ms.outline_samples(p, ["village", "survey", "i"], 1.0).withColumnsRenamed({"x": "lx", "y": "ly"}).join(poses, ["village", "survey"]).withColumns({"x": x, "y": y})
+    packed = ms.outline_samples(p, ["village", "survey", "i"], 1.0, packed=True).join(poses, ["village", "survey"])
+    feats = fx.features_fx.filter("substr(edge_id, 1, 1) = 'h'")        # some samples have nothing in reach, some cells no segment
+    ids, told = ["i", "edge_no", "k"], ["village", "i", "edge_no", "k", "bearing", "dist", "s_bearing"]
+    want, got = (spatial.nearest_sample(d, feats, ["village"], ids, 2.5).select(*told).collect() for d in (loose, packed))
+    assert sorted(map(str, got)) == sorted(map(str, want)) and 0 < sum(r.dist is None for r in got) < len(got)
+    want, got = (spatial.nearest_boundary_line(ms.outline_samples(p, ["village", "i"], 2.0, packed=k), feats, ["village"], ids).select("village", *ids, "dist", "edge_id", "ax").collect()
+                 for k in (False, True))
+    assert sorted(map(str, got)) == sorted(map(str, want)) and got
+
+
+def test_samples_are_not_dealt_out(spark):
+    for key in ("share_score", "nearest_boundary_line"):
+        plan = catalog.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" in plan and not re.search(r"Exchange hashpartitioning\([^)]*edge_no", plan)
+    d = spark.createDataFrame([("s", 0.5, 1, k) for k in range(50)] + [("s", 0.9, 2, 60)], "sheet string, bearing double, one int, k int")
+    kept = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(directions, "cut_lineage", lambda df: kept.append(df.count()) or df)
+        assert sorted(r.total for r in directions.direction_groups(d, ["sheet"], [F.col("k")], "one").collect()) == [2, 50]
+    assert max(kept) == 2
