@@ -74,7 +74,7 @@ def _nearest(fx):
   j as (select mv.*, m.d as d2, ((degrees(m.b)-degrees(bearing)-theta)%180+180)%180 as g from mv left join near n on n.i=mv.i and n.edge_no=mv.edge_no and n.k=mv.k)
   select village, survey, count(*) as n, round(count(*) filter (where sqrt(d2)<=1.5 and least(g,180-g)<=12)/count(*)::double,6) as share from j group by 1,2""")
 def _share(fx):
-    s = ms.outline_samples(plots(fx), KEY, 1.0)
+    s = ms.outline_samples(plots(fx), KEY, 1.0, packed=True)
     out = sp.share_score(s, fx.near_poses_fx.select("village", "survey", "theta", "tx", "ty"), fx.features_fx, ["village", "survey"], [])
     return out.withColumn("share", r(F.col("share")))
 
