@@ -86,7 +86,7 @@ def _share(fx):
   m as (select i, edge_no, k, min(sqrt((x-(ax+t*(bx-ax)))^2+(y-(ay+t*(b_y-ay)))^2)) as dist from j group by 1,2,3)
   select i, edge_no, k, round(dist,6) as dist from m where dist<=2""")
 def _line(fx):
-    s = ms.outline_samples(plots(fx), ["village", "i"], 2.0)
+    s = ms.outline_samples(plots(fx), ["village", "i"], 2.0, packed=True)
     return sp.nearest_boundary_line(s, fx.features_fx, ["village"], ["i", "edge_no", "k"]).select("i", "edge_no", "k", r(F.col("dist")).alias("dist"))
 
 
