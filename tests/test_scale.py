@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plotloom.functions import geo, kernels
-from plotloom.operators import directions, matching, overlap, spatial
+from plotloom.operators import adjust, directions, matching, overlap, spatial
 from plotloom.operators import measures as ms
 from plotloom.plans import catalog
 from plotloom.plans.shapes import corner_ring, plots
@@ -189,3 +189,28 @@ def test_samples_are_not_dealt_out(spark):
         m.setattr(directions, "cut_lineage", lambda df: kept.append(df.count()) or df)
         assert sorted(r.total for r in directions.direction_groups(d, ["sheet"], [F.col("k")], "one").collect()) == [2, 50]
     assert max(kept) == 2
+
+
+def test_a_village_is_adjusted_in_its_task_as_by_rounds(spark, monkeypatch):
+    pose, point = "village string, survey string, theta double, tx double, ty double", "village string, a string, b string, pax double, pay double, pbx double, pby double, sigma double"
+    free = spark.createDataFrame([(v, s, 1.5, 40.0 * k + 1, 0.5 - k) for v in "vw" for k, s in enumerate("BCD", 1)] + [("u", "B", 0.0, 3.0, 4.0)], pose)
+    fixed = spark.createDataFrame([(v, "A", 0.0, 0.0, 0.0) for v in "vw"], pose)
+    pair = [(v, a, b, 40.0, y, 0.0, y + (5.0 if (v, b, y) == ("w", "D", 20.0) else 0.0), 0.3) for v in "vw" for a, b in ("AB", "BC", "CD", "AX", "XB") for y in (0.0, 10.0, 20.0)]
+    line = spark.createDataFrame([("v", "D", "C", x, 0.0, 0.0, 0.0, 80.0, 0.0, 0.6) for x in (5.0, 30.0)],
+                                 "village string, survey string, other string, x double, y double, x0 double, y0 double, x1 double, y1 double, sigma double")
+    gcp = spark.createDataFrame([("w", "C", 5.0, 5.0, 84.5, 6.0, 1.0)], "village string, survey string, x double, y double, mx double, my double, sigma double")
+    obs = adjust.observations(pair=spark.createDataFrame(pair, point), pair_line=line, gcp=gcp)
+    rounds = []
+    monkeypatch.setattr(adjust, "_by_rounds", lambda *a, f=adjust._by_rounds: rounds.append(1) or f(*a))
+    got = {}
+    for most in (300_000, 10):      # the village u has no observations; it is adjusted in its task in any case
+        monkeypatch.setattr(adjust, "IN_TASK", most)
+        got[most] = sorted(tuple(r) for r in adjust.block_adjust(free, fixed, obs).collect())
+        assert len(rounds) == (most == 10)
+    assert [r[:2] for r in got[10]] == [r[:2] for r in got[300_000]] and len(got[10]) == 7
+    assert np.allclose([r[2:] for r in got[10]], [r[2:] for r in got[300_000]], atol=1e-6)
+    assert np.allclose(got[10][1][2:5], (0.0, 40.0, 0.0), atol=0.1)
+    assert [r.sigma_pos_m for r in adjust.block_adjust(free, fixed, obs, sigmas=False).collect()] == [None] * 7
+    with pytest.raises(Exception, match="still moving"):
+        monkeypatch.setattr(adjust, "GIVE_UP", 1)
+        adjust.block_adjust(free, fixed, obs).collect()
