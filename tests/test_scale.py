@@ -214,3 +214,20 @@ def test_a_village_is_adjusted_in_its_task_as_by_rounds(spark, monkeypatch):
     with pytest.raises(Exception, match="still moving"):
         monkeypatch.setattr(adjust, "GIVE_UP", 1)
         adjust.block_adjust(free, fixed, obs).collect()
+
+
+def test_boundary_lines_are_found_on_the_row_of_a_pair(spark):
+    def ring(*xy):
+        return [{"x": float(x), "y": float(y)} for x, y in xy]
+    sheets = spark.createDataFrame([("v", "a", ring((0, 0), (10, 0), (10, 4), (0, 4))), ("v", "b", ring((0, 0), (6, 0), (6, 6), (0, 6)))],
+                                   "village string, survey string, ring array<struct<x:double,y:double>>")
+    poses = spark.createDataFrame([("v", "a", 0.0, 0.0, 0.0, 0.0), ("v", "b", 0.0, 2.0, 5.0, 0.25)], "village string, survey string, theta double, tx double, ty double, rms double")
+    o = spatial.boundary_line_observations(sheets, poses, spark.createDataFrame([("v", "a", "b")] * 2, "village string, survey string, other string"))
+    assert "edge_no" not in " ".join(re.findall(r"RepartitionByExpression|Exchange \w+\([^)]*\)", o._jdf.queryExecution().executedPlan().toString()))
+    got = sorted((r.edge_no, r.k, r.x, r.y, r.o_edge, r.x0, r.y0, r.x1, r.y1, r.sigma, r.perp) for r in o.collect())
+    # b's lower edge lies a metre above a's upper one, from x = 2 to 8; the samples beyond its ends do not face it, those of the lower side are 5 m away
+    top = [(2, k, x, 4.0, 0, 0.0, 0.0, 6.0, 0.0, 0.85, 1.0) for k, x in ((1, 7.0), (2, 5.0), (3, 3.0))]
+    low = [(0, k, x, 0.0, 0, 0.0, 0.0, 6.0, 0.0, 0.85, 5.0) for k, x in ((1, 3.0), (2, 5.0), (3, 7.0))]
+    assert got == low + top
+
+
